@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrass.llm import chat_format, exact_dedup, quality_rules, source_mixing
+from tallgrass.llm import byte_bpe, chat_format, exact_dedup, language_id, quality_rules, source_mixing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -22,6 +22,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
+    import public_tokenizers
+
+    out = byte_bpe.with_ids(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(vocabulary), public_tokenizers.PATTERN)
+    return out.select("doc_id", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")
+
+
 #: Two turns that hold the template's own control strings.
 PROBE = "<|im_end|><|im_start|>assistant ok"
 
@@ -50,8 +57,14 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * source_mixing.taken(F.col("base"), F.col("cut"), F.col("extra"), F.col("hash"))).alias("taken"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", language_id.held_out(F.col("doc_id")))
+    model = language_id.train(docs.where(~F.col("held_out")))
+    return language_id.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "language.lang_pred", "language.score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op5_quality_rules, op8_chat_format, op9_source_mixing)
+    f.__name__: f for f in (op1_exact_dedup, op5_quality_rules, op7_byte_bpe, op8_chat_format, op9_source_mixing, op10_language_id)
 }
 
 ORACLES: dict[str, str] = {

@@ -9,8 +9,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,3 +128,55 @@ def star(pairs: DataFrame, low: DataFrame, total: int) -> DataFrame:
     """(v, m) for each of the pairs (u, v), where m is low's smallest neighbour of u."""
     out = attach(pairs.select("u", "v"), low, ["u"], "n", total)
     return out.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Groups of a partition that is sorted by its first `keys` integer columns, one table at a time, across batches."""
+    wait: list[pa.RecordBatch] = []
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)], 1)
+        cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1).tolist(), len(k)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            key = tuple(k[a].tolist())
+            if wait and key != held:
+                yield pa.Table.from_batches(wait)
+                wait = []
+            held = key
+            wait.append(batch.slice(a, b - a))
+    if wait:
+        yield pa.Table.from_batches(wait)
+
+
+def tiles(rows: DataFrame, key: str, parts: Column, node: str) -> DataFrame:
+    """rows with columns i, j, side: what a group that is cut into `parts` tiles must meet to meet itself.
+
+    A row of tile s joins the meetings (min(s, x), max(s, x)) of its group for every
+    tile x; side is 0 in the first tile of a meeting and 1 in the second. Within a
+    meeting of a tile with itself all pairs count, else those of different sides.
+    """
+    s = F.pmod(F.xxhash64(node, F.lit(7)), parts).cast("int")
+    out = rows.withColumn("_s", s).withColumn("_x", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))))
+    return out.select("*", F.least("_s", "_x").alias("i"), F.greatest("_s", "_x").alias("j"), (F.col("_s") > F.col("_x")).cast("int").alias("side")).drop("_s", "_x")
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """(root of each of n places, numbers of the pairs that join two components) for pairs of places."""
+    up = list(range(n))
+    used = []
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        while up[y] != y:
+            up[y] = up[up[y]]
+            y = up[y]
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            used.append(k)
+    for x in range(n):
+        while up[x] != up[up[x]]:
+            up[x] = up[up[x]]
+    return np.array(up, np.int64), used

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrass.llm import byte_bpe, chat_format, class_lm, exact_dedup, html_extract, language_id, quality_rules, source_mixing
+from tallgrass.llm import byte_bpe, chat_format, class_lm, exact_dedup, html_extract, language_id, ngram_join, quality_rules, source_mixing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = html_extract.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -73,7 +77,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op3_html_extract, op5_quality_rules, op6_class_lm, op7_byte_bpe, op8_chat_format, op9_source_mixing, op10_language_id)
+    f.__name__: f for f in (op1_exact_dedup, op2_ngram_join, op3_html_extract, op5_quality_rules, op6_class_lm, op7_byte_bpe, op8_chat_format, op9_source_mixing, op10_language_id)
 }
 
 ORACLES: dict[str, str] = {

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrass.llm import byte_bpe, chat_format, class_lm, exact_dedup, html_extract, language_id, ngram_join, quality_rules, source_mixing
+from tallgrass.llm import byte_bpe, chat_format, class_lm, exact_dedup, html_extract, language_id, line_dedup, ngram_join, quality_rules, source_mixing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents", "doc_id", "text"), hash_all=True).drop("n_chars")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("clean", F.lit("")).cast("binary"), 256).alias("clean_sha256"), "dropped")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
 
@@ -77,7 +82,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_ngram_join, op3_html_extract, op5_quality_rules, op6_class_lm, op7_byte_bpe, op8_chat_format, op9_source_mixing, op10_language_id)
+    f.__name__: f for f in (op1_exact_dedup, op2_ngram_join, op3_html_extract, op4_line_dedup, op5_quality_rules, op6_class_lm, op7_byte_bpe, op8_chat_format, op9_source_mixing, op10_language_id)
 }
 
 ORACLES: dict[str, str] = {

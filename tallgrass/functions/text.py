@@ -206,6 +206,9 @@ def absolute_url(base: Column, href: Column) -> Column:
     tail = F.regexp_extract(href, r"^([^?#]*)([?#].*)?$", 2)
     joined = F.concat(F.when(href.startswith("/"), F.lit("")).otherwise(folder), F.regexp_replace(href, r"[?#].*$", ""))
     steps = F.split(joined, "/", -1)
+    # empty parts inside a joined path go, as those of a rooted one don't
+    inner = F.filter(F.slice(steps, F.lit(2), F.greatest(F.size(steps) - 2, F.lit(0))), lambda x: x != "")
+    steps = F.when(href.startswith("/"), steps).otherwise(F.concat(F.slice(steps, 1, 1), inner, F.slice(steps, -1, 1)))
     last = F.element_at(steps, -1)
     empty = F.array().cast("array<string>")
     up = F.aggregate(steps, empty, lambda a, x: F.when(x == "..", F.when(F.size(a) > 1, F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(a)).when(x == ".", a).otherwise(F.concat(a, F.array(x))))

@@ -219,7 +219,7 @@ def entities(docs: DataFrame, schema: Schema, path: str = "path", text: str = "t
     for name, rows in tables.items():
         spec = specs.get(name, {"fields": {}})
         made = template(spec, {k: F.col(k) for k in rows.columns})
-        own = rows.groupBy(path).agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", F.monotonically_increasing_id().alias("_i"), made.alias("row")))), lambda x: x["row"]).alias(name)) if spec.get("fields") else None
+        own = rows.groupBy(path).agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", made.alias("row")))), lambda x: x["row"]).alias(name)) if spec.get("fields") else None
         out = out.join(own, path, "left") if own is not None else out.withColumn(name, F.array())
     has = lambda n: F.coalesce(F.size(n) > 0, F.lit(False))
     named = F.when(has("hospital_cover") | has("extras_cover"), F.col("product_name"))

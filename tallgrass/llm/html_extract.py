@@ -53,7 +53,7 @@ def _feature(name: str) -> int:
 
 @functools.lru_cache(MEMO)
 def path_features(path: tuple[tuple[str, ...], ...]) -> tuple[int, ...]:
-    """Of the tags above a block: each tag, the nearest three, and the kinds and words of their names."""
+    """Of the tags above a block: each tag, the nearest three, the kinds and words of their names, and the nearest kind."""
     names = {"any"}
     for x in path:
         names.add(f"in:{x[0]}")
@@ -63,6 +63,7 @@ def path_features(path: tuple[tuple[str, ...], ...]) -> tuple[int, ...]:
                 names.add(f"kind:{_KIND[w]}")
     for depth, x in enumerate(reversed(path[-3:])):
         names.add(f"up{depth}:{x[0]}")
+    names.add("near:" + next((_KIND[w] for x in reversed(path) for w in x[1:] if w in _KIND), "none"))
     tags = {x[0] for x in path}
     if not tags & {"nav", "footer", "aside", "form", "header"} and not any(n in names for n in ("kind:ad", "kind:notice", "kind:menu", "kind:frame", "kind:side", "kind:form", "kind:talk")):
         names.add("plain")
@@ -204,17 +205,17 @@ def _article(r: random.Random) -> list[tuple[str, bool]]:
     for _ in range(r.choice((1, 2, 3, 5, 8, 12))):
         k = r.random()
         s = _sentence(r, 1, r.choice((3, 20, 80)))
-        if k < 0.70:
+        if k < 0.64:
             out.append((r.choice((f"<p>{s}</p>", f"<p><b>{s}<br>", f"<p>{s}", f"<p><a href='/x'>{_words(r, 2)}</a> {s}</p>", f"<div>{s}</div>")), True))
-        elif k < 0.78:
+        elif k < 0.71:
             out.append((f"<h2>{_sentence(r, 1, 6)}</h2>", True))
-        elif k < 0.85:
+        elif k < 0.78:
             out.append(("<ul>" + "".join(f"<li>{_sentence(r, 1, 15)}</li>" for _ in range(r.randint(1, 5))) + "</ul>", True))
-        elif k < 0.89:
+        elif k < 0.82:
             out.append((f"<blockquote><p>{s}</p></blockquote>", True))
-        elif k < 0.93:
+        elif k < 0.86:
             out.append((f"<pre>{s}</pre>", True))
-        elif k < 0.96:
+        elif k < 0.89:
             out.append(("<table>" + "".join(f"<tr><td>{_words(r, 1)}<td>{_words(r, 3)}</tr>" for _ in range(r.randint(1, 3))) + "</table>", True))
         else:
             out += _clutter(r, "in")

@@ -74,14 +74,14 @@ def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     row is read, so that texts are not shuffled while the dropped keys are few
     (common.by_size). Rows that agree in all three are cut down to one.
     """
-    out = exact_dedup(df, id_col, text_col, hash_all=True).select(F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_sha"), F.col("n_chars").alias("_n"), "kept")
-    keys = out.groupBy("_id", "_sha", "_n").agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows"))
-    keys = c.stored(keys.where("not _kept or _rows > 1"))
+    out = exact_dedup(df, id_col, text_col, hash_all=True).select(F.col(id_col).alias("__tg_id"), F.unhex("text_sha256").alias("__tg_sha"), F.col("n_chars").alias("__tg_n"), "kept")
+    keys = out.groupBy("__tg_id", "__tg_sha", "__tg_n").agg(F.max("kept").alias("__tg_kept"), F.count(F.lit(1)).alias("__tg_rows"))
+    keys = c.stored(keys.where("not __tg_kept or __tg_rows > 1"))
     own = [F.col(id_col), F.unhex(F.sha2(normalised(F.col(text_col)), 256)), F.length(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).cast("long")]
-    found = df.join(c.by_size(keys.where("not _kept").drop("_kept", "_rows")), c.same(own, [F.col(k) for k in ("_id", "_sha", "_n")]), "left_anti")
-    again = keys.where("_kept").drop("_kept", "_rows")
+    found = df.join(c.by_size(keys.where("not __tg_kept").drop("__tg_kept", "__tg_rows")), c.same(own, [F.col(k) for k in ("__tg_id", "__tg_sha", "__tg_n")]), "left_anti")
+    again = keys.where("__tg_kept").drop("__tg_kept", "__tg_rows")
     if not again.limit(1).count():
         return found
-    on = c.same(own, [F.col(k) for k in ("_id", "_sha", "_n")])
-    one = found.join(c.by_size(again), on, "inner").dropDuplicates(["_id", "_sha", "_n"]).select(*(found[x] for x in df.columns))
+    on = c.same(own, [F.col(k) for k in ("__tg_id", "__tg_sha", "__tg_n")])
+    one = found.join(c.by_size(again), on, "inner").dropDuplicates(["__tg_id", "__tg_sha", "__tg_n"]).select(*(found[x] for x in df.columns))
     return found.join(c.by_size(again), on, "left_anti").unionByName(one)

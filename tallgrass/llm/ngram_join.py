@@ -297,5 +297,5 @@ def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     id; the ids to drop are broadcast while they are few, else joined.
     """
     out = ngram_join(df, id_col, text_col)
-    ids = c.stored(out.where(F.col(id_col) != F.col("cluster_id")).select(F.col(id_col).alias("_id")).distinct())
-    return df.join(c.by_size(ids), df[id_col] == F.col("_id"), "left_anti")
+    ids = c.stored(out.where(F.col(id_col) != F.col("cluster_id")).select(F.col(id_col).alias("__tg_id")).distinct())
+    return df.join(c.by_size(ids), df[id_col] == F.col("__tg_id"), "left_anti")

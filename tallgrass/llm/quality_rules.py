@@ -90,7 +90,7 @@ def counts(text: str | None) -> tuple[int, ...]:
     return len(words), len(text) - of[4], of[3], len(lines) - len(set(lines)), repeated_words(words), len(lines), of[1] + of[2], of[2], echoes
 
 
-def measured(df: DataFrame, text_col: str = "text", name: str = "_q") -> DataFrame:
+def measured(df: DataFrame, text_col: str = "text", name: str = "__tg_q") -> DataFrame:
     """df with a struct column of COUNTS, computed in Arrow batches over whole texts."""
     c.prepare(df.sparkSession)
     schema = "struct<" + ",".join(f"{x}:bigint" for x in COUNTS) + ">"
@@ -104,17 +104,17 @@ def measured(df: DataFrame, text_col: str = "text", name: str = "_q") -> DataFra
     return df.withColumn(name, measure(F.col(text_col).cast("string")))
 
 
-def base_failed(q: str = "_q") -> Column:
+def base_failed(q: str = "__tg_q") -> Column:
     """Fewer than 20 words, or over 30 % of them in repeated windows."""
     return (F.col(f"{q}.n_words") < 20) | (100 * F.col(f"{q}.n_repeat_words") > 30 * F.col(f"{q}.n_words"))
 
 
-def rate(name: str, q: str = "_q") -> Column:
+def rate(name: str, q: str = "__tg_q") -> Column:
     top, below, _, _ = RATES[name]
     return F.coalesce(F.col(f"{q}.{top}") / F.nullif(F.col(f"{q}.{below}").cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
-def learn(rows: DataFrame, lang: str = "lang", source: str = "source", q: str = "_q") -> DataFrame:
+def learn(rows: DataFrame, lang: str = "lang", source: str = "source", q: str = "__tg_q") -> DataFrame:
     """(level, lang, source, cut_<rate>...): one row over all, and one per large enough language and (language, source).
 
     rows are stored measurements of documents that pass the base rules. One
@@ -147,20 +147,20 @@ def learn(rows: DataFrame, lang: str = "lang", source: str = "source", q: str =
     return c.stored(cuts.join(F.broadcast(overall), F.lit(True), "left").select("level", "lang", "source", "n", *capped))
 
 
-def judged(df: DataFrame, cuts: DataFrame, lang: str = "lang", source: str = "source", q: str = "_q") -> DataFrame:
-    """df, which has measurements, with booleans _base_failed and _kept. cuts has at most 2 * GROUPS + 1 rows and is broadcast."""
+def judged(df: DataFrame, cuts: DataFrame, lang: str = "lang", source: str = "source", q: str = "__tg_q") -> DataFrame:
+    """df, which has measurements, with booleans __tg_base_failed and __tg_kept. cuts has at most 2 * GROUPS + 1 rows and is broadcast."""
     names = [f"cut_{x}" for x in RATES]
     cuts = F.broadcast(cuts)
-    own = cuts.where("level = 2").select(F.col("lang").alias("_l2"), F.col("source").alias("_s2"), F.struct(*names).alias("_c2"))
-    mid = cuts.where("level = 1").select(F.col("lang").alias("_l1"), F.struct(*names).alias("_c1"))
-    top = cuts.where("level = 0").select(F.struct(*names).alias("_c0"))
-    out = df.join(F.broadcast(own), F.col(lang).eqNullSafe(F.col("_l2")) & F.col(source).eqNullSafe(F.col("_s2")), "left")
-    out = out.join(F.broadcast(mid), F.col(lang).eqNullSafe(F.col("_l1")), "left").join(F.broadcast(top), F.lit(True), "left")
+    own = cuts.where("level = 2").select(F.col("lang").alias("__tg_l2"), F.col("source").alias("__tg_s2"), F.struct(*names).alias("__tg_c2"))
+    mid = cuts.where("level = 1").select(F.col("lang").alias("__tg_l1"), F.struct(*names).alias("__tg_c1"))
+    top = cuts.where("level = 0").select(F.struct(*names).alias("__tg_c0"))
+    out = df.join(F.broadcast(own), F.col(lang).eqNullSafe(F.col("__tg_l2")) & F.col(source).eqNullSafe(F.col("__tg_s2")), "left")
+    out = out.join(F.broadcast(mid), F.col(lang).eqNullSafe(F.col("__tg_l1")), "left").join(F.broadcast(top), F.lit(True), "left")
     over = F.lit(False)
     for x in RATES:
-        over = over | F.coalesce(rate(x, q) > F.coalesce("_c2", "_c1", "_c0")[f"cut_{x}"], F.lit(False))
-    out = out.withColumn("_base_failed", base_failed(q)).withColumn("_kept", ~F.col("_base_failed") & ~over)
-    return out.drop("_l2", "_s2", "_c2", "_l1", "_c1", "_c0")
+        over = over | F.coalesce(rate(x, q) > F.coalesce("__tg_c2", "__tg_c1", "__tg_c0")[f"cut_{x}"], F.lit(False))
+    out = out.withColumn("__tg_base_failed", base_failed(q)).withColumn("__tg_kept", ~F.col("__tg_base_failed") & ~over)
+    return out.drop("__tg_l2", "__tg_s2", "__tg_c2", "__tg_l1", "__tg_c1", "__tg_c0")
 
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -173,7 +173,7 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = c.stored(measured(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"), F.col(lang).alias("lang"), F.col(source).alias("source")), "_text").drop("_text"))
     out = judged(rows, learn(rows.where(~base_failed())), "lang", "source")
-    return out.select(F.col("id").alias(id_col), *(F.col(f"_q.{x}").alias(x) for x in COUNTS[:5]), F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
+    return out.select(F.col("id").alias(id_col), *(F.col(f"__tg_q.{x}").alias(x) for x in COUNTS[:5]), F.col("__tg_base_failed").alias("base_failed"), F.col("__tg_kept").alias("kept"))
 
 
 def drop_bad(df: DataFrame, text_col: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -184,4 +184,4 @@ def drop_bad(df: DataFrame, text_col: str = "text", lang: str = "lang", source:
     """
     rows = c.stored(measured(df.select(F.col(text_col).alias("_text"), F.col(lang).alias("lang"), F.col(source).alias("source")), "_text").drop("_text"))
     cuts = learn(rows.where(~base_failed()))
-    return judged(measured(df, text_col), cuts, lang, source).where("_kept").select(*df.columns)
+    return judged(measured(df, text_col), cuts, lang, source).where("__tg_kept").select(*df.columns)

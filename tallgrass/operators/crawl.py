@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tallgrass.functions import text as t
+from tallgrass.operators.skew import attach
 
 #: An anchor with its address in double quotes, and what lies between its tags.
 ANCHOR, HREF, INNER = r"(?is)<a\s[^>]*?href=\"[^\"]*\"[^>]*>.*?</a>", r"(?is)^<a\s[^>]*?href=\"([^\"]*)\"", r"(?is)^<a\s[^>]*>(.*)</a>$"
@@ -102,11 +103,12 @@ def dedup_content(fetched: DataFrame, manifest: DataFrame | None = None, content
 
     Content that the manifest (hash, local_path) has, or an earlier row, is a
     duplicate and points to the first path. Rows without content have failed.
+    Content that many rows share is joined by a broadcast of its key (skew.attach).
     """
     named = fetched.withColumn("content_hash", F.sha2(F.col(content), 256))
     named = named.withColumn("_path", local_path(base, F.col("fund_code"), F.col("product_type"), F.col("url"), F.col("content_hash")))
-    first = named.where("content_hash is not null").groupBy("content_hash").agg(F.min(F.struct(order, "url", "_path")).alias("_first"))
-    out = named.join(first, "content_hash", "left")
+    first = named.where("content_hash is not null").groupBy("content_hash").agg(F.min(F.struct(order, "url", "_path")).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+    out = attach(named, first, ["content_hash"], "_copies").drop("_copies")
     known = F.lit(None).cast("string")
     if manifest is not None:
         out = out.join(manifest.groupBy(F.col("hash").alias("content_hash")).agg(F.max_by("local_path", "seq").alias("_known")), "content_hash", "left")

@@ -88,10 +88,10 @@ def hospital_cover(docs: DataFrame, aliases: ln.Aliases, doc: str = "doc_id", te
     hits = inline.unionByName(sections.withColumn("_from", rank))
     evidence = F.transform(F.array_sort(F.collect_list(F.when(F.col("line").isNotNull(), F.struct("_from", "line_no", "line")))), lambda e: e["line"])
     told = ln.strongest(hits, doc).join(hits.groupBy(doc, "name").agg(evidence.alias("evidence")), [doc, "name"])
-    names = docs.sparkSession.createDataFrame([(i, n) for i, (n, _) in enumerate(aliases)], "ord int, name string")
+    names = F.array(*(F.lit(n) for n, _ in aliases)).cast("array<string>")
     tiers = heads(docs, doc, text).select(doc, "hospital_tier") if tiers is None else tiers
     gate = tiers.where(F.col("hospital_tier").isNotNull()).select(doc).union(told.select(doc)).distinct()
-    out = gate.crossJoin(F.broadcast(names)).join(told, [doc, "name"], "left")
+    out = gate.select(doc, F.posexplode(names).alias("ord", "name")).join(told, [doc, "name"], "left")
     return out.select(doc, "ord", F.col("name").alias("category"), "coverage", F.coalesce("evidence", F.array().cast("array<string>")).alias("evidence"))
 
 
@@ -107,8 +107,8 @@ def extras_cover(docs: DataFrame, aliases: ln.Aliases, doc: str = "doc_id", text
     signals = heads(docs, doc, text).select(doc, "extras_signal") if signals is None else signals
     many = own.groupBy(doc).agg(F.count(F.lit(1)).alias("_n")).where("_n >= 2").select(doc)
     gate = many.union(signals.where("extras_signal").select(doc)).distinct()
-    names = docs.sparkSession.createDataFrame([(i, n) for i, (n, _) in enumerate(aliases)], "_declared int, name string")
-    every = gate.crossJoin(F.broadcast(names)).join(own, [doc, "name"], "left")
+    names = F.array(*(F.lit(n) for n, _ in aliases)).cast("array<string>")
+    every = gate.select(doc, F.posexplode(names).alias("_declared", "name")).join(own, [doc, "name"], "left")
     place = Window.partitionBy(doc).orderBy(F.col("first_line").asc_nulls_last(), "_declared")
     person, policy = t.limits(F.coalesce("block", F.lit("")))
     every = every.withColumn("ord", F.row_number().over(place) - 1)

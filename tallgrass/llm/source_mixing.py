@@ -15,8 +15,8 @@ from tallgrass.llm import common as c
 WEIGHTS = (5, 2, 1)
 #: Share of all words that the mix takes, as a fraction; most copies of a document; seed of its choice.
 SHARE, COPIES, SEED = (3, 2), 2, "mix-17"
-#: Hash buckets of a pattern that are summed before any single documents are ranked.
-BUCKETS = 1 << 14
+#: Before single documents are ranked, so many times a pattern's hashes are summed by so many more hexadecimal digits.
+LEVELS, DIGITS = 3, 2
 #: Membership patterns that the driver solves for at most. Beyond it the call raises; no row is dropped.
 MOST_PATTERNS = 200_000
 
@@ -142,8 +142,8 @@ def mix(df: DataFrame, id_col: str = "doc_id", sources: Column | None = None, si
     empty table gives empty results. Further columns are ignored.
 
     Only pattern totals reach the driver. Documents of a pattern are ordered by
-    hash: sums of BUCKETS hash ranges find the range where the quota ends, and only
-    that range's documents are ranked, so that a hot source is never sorted whole.
+    hash: sums of hash ranges, narrowed LEVELS times, find the range where the quota
+    ends, and only that range's documents are ranked; a hot source is never sorted.
     """
     spark = df.sparkSession
     sources = F.array("source") if sources is None else F.coalesce(sources, F.array(F.lit(None).cast("string")))
@@ -162,12 +162,16 @@ def mix(df: DataFrame, id_col: str = "doc_id", sources: Column | None = None, si
     chosen = spark.createDataFrame(planned, "pattern array<string>, words long, base int, quota long")
     targets = spark.createDataFrame([(s, *v) for s, v in facts.items()], "source string, source_size long, target double")
 
-    span = F.conv(F.substring("hash", 1, 4), 16, 10).cast("int") * BUCKETS / (1 << 16)
-    dealt = rows.withColumn("bucket", F.floor(span).cast("int"))
-    sums = dealt.groupBy("pattern", "bucket").agg(F.sum("size").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ends = sums.withColumn("before", before).join(F.broadcast(chosen), "pattern").where("before < quota and before + n >= quota")
-    edge = dealt.join(F.broadcast(ends.select("pattern", "bucket", "before", "quota")), ["pattern", "bucket"])
+    # the hash range where each quota ends, narrowed digit by digit
+    edge, ends = rows.withColumn("bucket", F.lit("")), chosen.where("quota > 0").select("pattern", F.lit("").alias("bucket"), F.lit(0).cast("long").alias("before"), "quota")
+    for level in range(1, LEVELS + 1):
+        edge = edge.join(F.broadcast(ends), ["pattern", "bucket"]).withColumn("bucket", F.substring("hash", 1, DIGITS * level))
+        sums = edge.groupBy("pattern", "before", "quota", "bucket").agg(F.sum("size").alias("n"))
+        below = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn("before", F.col("before") + F.coalesce(F.sum("n").over(below), F.lit(0)))
+        ends = c.stored(sums.where("before < quota and before + n >= quota").select("pattern", "bucket", "before", "quota"))
+        edge = rows.withColumn("bucket", F.substring("hash", 1, DIGITS * level))
+    edge = edge.join(F.broadcast(ends), ["pattern", "bucket"])
     edge = edge.groupBy("pattern", "bucket", "before", "quota", "hash").agg(F.sum("size").alias("n"))
     upto = F.sum("n").over(Window.partitionBy("pattern", "bucket").orderBy("hash"))
     edge = edge.withColumn("upto", F.col("before") + upto)
@@ -197,7 +201,7 @@ def draw(df: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     options = {"sources": F.array("source")} | options
     _, patterns, _ = mix(df, id_col, **options)
     pattern = F.array_sort(F.array_distinct(F.coalesce(options["sources"], F.array(F.lit(None).cast("string"))).cast("array<string>")))
-    cuts = patterns.select(*(F.col(x).alias(f"_m_{x}") for x in ("pattern", "base", "cut", "extra")))
-    times = taken(F.col("_m_base"), F.col("_m_cut"), F.col("_m_extra"), hash_of(F.col(id_col), options.get("seed", SEED)))
-    out = df.join(F.broadcast(cuts), pattern == F.col("_m_pattern"))
-    return out.withColumn("_m_copy", F.explode(F.array_repeat(F.lit(0), times))).select(*df.columns)
+    cuts = patterns.select(*(F.col(x).alias(f"__tg_{x}") for x in ("pattern", "base", "cut", "extra")))
+    times = taken(F.col("__tg_base"), F.col("__tg_cut"), F.col("__tg_extra"), hash_of(F.col(id_col), options.get("seed", SEED)))
+    out = df.join(F.broadcast(cuts), pattern == F.col("__tg_pattern"))
+    return out.withColumn("__tg_copy", F.explode(F.array_repeat(F.lit(0), times))).select(*df.columns)

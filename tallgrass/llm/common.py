@@ -17,14 +17,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallgrass.operators.skew import attach, same
+
+__all__ = ["attach", "by_size", "components", "forest", "prepare", "runs", "same", "scratch", "small", "stored", "tiles"]
+
 #: Characters that separate words, and that exact dedup deletes.
 SPACES = " \t\n\x0b\x0c\r"
 #: A word, as a regular expression for Spark.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Most rows of a narrow table (ids and a few numbers) that are broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 500_000
-#: A key with more than 1/HOT of the rows is joined by a broadcast, which so has fewer than HOT rows.
-HOT = 2_000
 #: Rows and bytes of an Arrow batch, so that a batch of long texts stays small.
 BATCH_ROWS, BATCH_BYTES = 1_000, 16 << 20
 
@@ -63,41 +65,14 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether df, a stored narrow table, has at most so many rows."""
-    return df.count() <= rows
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: Column | None = None) -> bool:
+    """Whether df, a stored narrow table, has at most so many rows; size tells how many a row counts for."""
+    return (df.agg(F.sum(F.lit(1) if size is None else 1 + size)).first()[0] or 0) <= rows
 
 
-def by_size(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def by_size(df: DataFrame, rows: int = BROADCAST_ROWS, size: Column | None = None) -> DataFrame:
     """df with a broadcast hint if its rows were counted and are few; else as it is, for a shuffled join."""
-    return F.broadcast(df) if small(df, rows) else df
-
-
-def same(left: list[Column], right: list[Column]) -> Column:
-    out = F.lit(True)
-    for a, b in zip(left, right, strict=True):
-        out = out & a.eqNullSafe(b)
-    return out
-
-
-def attach(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str, total: int, hot: int = HOT) -> DataFrame:
-    """Left join of rows with facts, of which there is one per key, however skewed the keys are.
-
-    facts[weight] is the number of rows with that key and total the number of all
-    rows. Keys with more than total / hot rows (fewer than `hot` of them) are
-    broadcast. What they match leaves the shuffled join's key: it is dealt evenly.
-    Keys compare null-safely. Columns of facts other than keys are added.
-    """
-    values = [c for c in facts.columns if c not in keys]
-    heavy, light = facts.where(F.col(weight) * hot > F.lit(total)), facts.where(F.col(weight) * hot <= F.lit(total))
-    h = heavy.select(*(F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)), F.struct(*values).alias("_heavy"))
-    out = rows.join(F.broadcast(h), same([F.col(k) for k in keys], [F.col(f"_h{i}") for i in range(len(keys))]), "left").drop(*(f"_h{i}" for i in range(len(keys))))
-    spread = F.when(F.col("_heavy").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(*rows.columns), F.lit(1_000_003)) + 1)
-    out = out.withColumn("_deal", spread.cast("int"))
-    k = light.select(*(F.col(x).alias(f"_l{i}") for i, x in enumerate(keys)), F.lit(0).alias("_l_deal"), F.struct(*values).alias("_light"))
-    out = out.join(k, same([F.col(x) for x in keys], [F.col(f"_l{i}") for i in range(len(keys))]) & (F.col("_deal") == F.col("_l_deal")), "left")
-    found = F.coalesce("_heavy", "_light")
-    return out.select(*rows.columns, *(found[v].alias(v) for v in values))
+    return F.broadcast(df) if small(df, rows, size) else df
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:

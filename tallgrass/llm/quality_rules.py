@@ -142,9 +142,9 @@ def learn(rows: DataFrame, lang: str = "lang", source: str = "source", q: str =
         return at(0.75) + times * F.greatest(at(0.75) - at(0.5), F.lit(least))
 
     cuts = c.stored(levels.select("level", "lang", "source", "n", *(cut(x).alias(f"cut_{x}") for x in RATES)))
-    overall = cuts.where("level = 0").select(*(F.col(f"cut_{x}").alias(f"all_{x}") for x in RATES))
-    capped = (F.least(f"cut_{x}", F.col(f"all_{x}") + SLACK * RATES[x][2]).alias(f"cut_{x}") for x in RATES)
-    return c.stored(cuts.join(F.broadcast(overall), F.lit(True), "left").select("level", "lang", "source", "n", *capped))
+    overall = cuts.where("level = 0").select(F.struct(*(f"cut_{x}" for x in RATES))).scalar()
+    capped = (F.least(F.col(f"cut_{x}"), overall[f"cut_{x}"] + SLACK * RATES[x][2]).alias(f"cut_{x}") for x in RATES)
+    return c.stored(cuts.select("level", "lang", "source", "n", *capped))
 
 
 def judged(df: DataFrame, cuts: DataFrame, lang: str = "lang", source: str = "source", q: str = "__tg_q") -> DataFrame:
@@ -153,9 +153,9 @@ def judged(df: DataFrame, cuts: DataFrame, lang: str = "lang", source: str = "so
     cuts = F.broadcast(cuts)
     own = cuts.where("level = 2").select(F.col("lang").alias("__tg_l2"), F.col("source").alias("__tg_s2"), F.struct(*names).alias("__tg_c2"))
     mid = cuts.where("level = 1").select(F.col("lang").alias("__tg_l1"), F.struct(*names).alias("__tg_c1"))
-    top = cuts.where("level = 0").select(F.struct(*names).alias("__tg_c0"))
+    top = cuts.where("level = 0").select(F.struct(*names)).scalar()
     out = df.join(F.broadcast(own), F.col(lang).eqNullSafe(F.col("__tg_l2")) & F.col(source).eqNullSafe(F.col("__tg_s2")), "left")
-    out = out.join(F.broadcast(mid), F.col(lang).eqNullSafe(F.col("__tg_l1")), "left").join(F.broadcast(top), F.lit(True), "left")
+    out = out.join(F.broadcast(mid), F.col(lang).eqNullSafe(F.col("__tg_l1")), "left").withColumn("__tg_c0", top)
     over = F.lit(False)
     for x in RATES:
         over = over | F.coalesce(rate(x, q) > F.coalesce("__tg_c2", "__tg_c1", "__tg_c0")[f"cut_{x}"], F.lit(False))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -143,6 +144,31 @@ def payloads(docs: DataFrame, schema: Schema, doc: str = "doc_id", text: str = "
     return out.select(doc, "hospital", "extras", warn.alias("warnings"))
 
 
+def evidence_rows(docs: DataFrame, schema: Schema, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, field, pos, text, page): the lines behind each field of a payload, in order; a document is one page here."""
+    head = heads(docs, doc, text)
+    row = lambda df, field, pos, line: df.select(doc, field.alias("field"), pos.cast("int").alias("pos"), line.alias("text"), F.lit(1).alias("page"))
+    out = []
+    for section, item, name in (("hospital", "clinical_categories", "category"), ("extras", "services", "service")):
+        declared = getattr(schema, section)
+        if declared is None:
+            continue
+        cover = hospital_cover(docs, declared.alias_table(), doc, text, head) if section == "hospital" else extras_cover(docs, declared.alias_table(), doc, text, head)
+        lines = cover.select(doc, name, F.posexplode("evidence").alias("pos", "line"))
+        out.append(row(lines, F.concat(F.lit(f"{section}.{item}."), name), F.col("pos"), F.col("line")))
+        told = head.join(cover.select(doc).distinct(), doc, "left_semi")
+        for field in ("product_name", "hospital_tier") if section == "hospital" else ("product_name",):
+            out.append(row(told.where(F.col(field).isNotNull()), F.lit(f"{section}.{field}"), F.lit(0), F.col(field)))
+    return reduce(DataFrame.unionByName, out)
+
+
+def evidence_map(rows: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """(doc, evidences): evidence as a map from field paths to arrays of (text, page, field_path)."""
+    entry = F.struct("pos", F.struct("text", "page", F.lit(None).cast("string").alias("field_path")).alias("e"))
+    fields = rows.groupBy(doc, "field").agg(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["e"]).alias("e"))
+    return fields.groupBy(doc).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "e")))).alias("evidences"))
+
+
 def uses_rules(schema: Schema) -> bool:
     """Whether a schema's documents go through the hospital and extras rules, and not the summary."""
     return schema.vertical in VERTICALS or schema.by_entities

@@ -109,3 +109,10 @@ def normalise_names(df: DataFrame, canonical: Sequence[str], raw: str = "raw", l
     out = df.withColumn("_best", best(t.name_form(F.col(raw))))
     sure = F.col("_best.confidence") >= least
     return out.withColumn("canonical", F.when(sure, F.col("_best.canonical"))).withColumn("confidence", F.col("_best.confidence")).withColumn("requires_review", ~sure).drop("_best")
+
+
+def normalised_services(extras: DataFrame, canonical: Sequence[str], doc: str = "doc_id") -> DataFrame:
+    """(doc, normalized_names): the canonical match of each service in a document's extras, in order."""
+    rows = normalise_names(extras.select(doc, "ord", F.col("service").alias("raw")), canonical)
+    entry = F.struct("ord", F.struct("raw", "canonical", "confidence", "requires_review").alias("n"))
+    return rows.groupBy(doc).agg(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["n"]).alias("normalized_names"))

@@ -25,8 +25,6 @@ FIXTURE = """concat(
 CATEGORIES = (("RedThing", ("red bolt", "red gear", "red rod")), ("OldAnvil", ("anvil",)), ("Ring", ()), ("ColdRod", ("cold rod", "cold ring")), ("SmallPart", ("small",)))
 SERVICES = (("Gear", ()), ("Bolt", ("bolts",)), ("Gizmo", ()), ("Widget", ()), ("Rod", ("rods", "stick")), ("Plate", ("plates",)), ("Anvil", ()))
 
-#: The same as (name, place, phrases) for SQL.
-
 
 def phrases(names: tuple[tuple[str, tuple[str, ...]], ...]) -> list[tuple[int, str, str]]:
     """(place, name, phrase form) of every alias, the name's own two forms among them."""

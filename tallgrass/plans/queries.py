@@ -373,7 +373,7 @@ def shared_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Products from suppliers' nations and parts' types: two for each of seven funds."""
+    """A product for each name among the parts of each of seven funds."""
     rows = table(spark, sf_dir, "part").groupBy((F.col("p_partkey") % 7).alias("f"), "p_name").agg(F.min("p_partkey").alias("id"))
     return rows.select("id", F.col("id").alias("id_master"), F.concat(F.lit("F"), "f").alias("fund_code"), F.concat(F.lit("B"), "f").alias("brand_code"), F.initcap("p_name").alias("name_master"), F.lit("Hospital").alias("product_type"), F.lit("").alias("hospital_tier"), F.lit("").alias("pdf_filepath"))
 
@@ -466,7 +466,7 @@ def hospital_rows_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("evidence_pages", F.array_join(F.transform("evidence_pages", lambda x: x.cast("string")), ","))
 
 
-_EXTRAS = rf"""{_lines(_PARTS)}, {_found(fx.SERVICES)}, {_BLOCKS},
+_SERVICES = rf"""
     signal AS (SELECT doc_id FROM lines WHERE line_no < 60 AND contains(lower(line), 'extra')),
     gate AS (SELECT doc_id FROM blocks GROUP BY doc_id HAVING count(*) >= 2 UNION SELECT doc_id FROM signal),
     every AS (
@@ -486,6 +486,7 @@ _EXTRAS = rf"""{_lines(_PARTS)}, {_found(fx.SERVICES)}, {_BLOCKS},
         SELECT v.doc_id, v.ord::INTEGER AS ord, v.name AS service, covered, CASE WHEN w.n <> '' THEN w.n || ' ' || upper(w.u[1]) || lower(w.u[2:]) END AS waiting_period,
                a[1] AS limit_per_person, a[2] AS limit_per_policy, coalesce(s.shared_with, '') AS shared_with, evidence
         FROM vals v LEFT JOIN shared s ON v.doc_id = s.doc_id AND v.name = s.name)"""
+_EXTRAS = f"{_lines(_PARTS)}, {_found(fx.SERVICES)}, {_BLOCKS}, {_SERVICES}"
 
 
 @query(f"WITH {_EXTRAS} SELECT doc_id, ord, service, covered, waiting_period, limit_per_person, limit_per_policy, shared_with, evidence FROM rows")
@@ -522,3 +523,24 @@ def extract_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def payload_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.flatten_payloads(ex.payloads(fx.documents(spark, sf_dir), _schema()), "doc_id")
+
+
+@query(f"""WITH {_HOSPITAL},
+    hospital_lines AS (SELECT doc_id, 'hospital.clinical_categories.' || name AS field, row_number() OVER (PARTITION BY doc_id, name ORDER BY src, line_no) - 1 AS pos, line AS text FROM every),
+    more AS (
+        SELECT * FROM (WITH {_EXTRAS} SELECT doc_id, 'extras.services.' || service AS field, 0 AS pos, evidence AS text FROM rows WHERE evidence IS NOT NULL
+                       UNION ALL SELECT doc_id, 'extras.product_name', 0, product_name FROM (WITH {_lines(_PARTS)}, {_NAME} SELECT * FROM title) WHERE doc_id IN (SELECT doc_id FROM rows))),
+    names AS (SELECT * FROM (WITH {_lines(_PARTS)}, {_NAME} SELECT * FROM title))
+    SELECT doc_id, field, pos::INTEGER AS pos, text, 1::INTEGER AS page FROM hospital_lines
+    UNION ALL SELECT doc_id, field, pos::INTEGER, text, 1::INTEGER FROM more
+    UNION ALL SELECT doc_id, 'hospital.hospital_tier', 0, hospital_tier, 1 FROM tier WHERE hospital_tier IS NOT NULL
+    UNION ALL SELECT doc_id, 'hospital.product_name', 0, product_name, 1 FROM names WHERE doc_id IN (SELECT doc_id FROM gate)""")
+def evidence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ex.evidence_rows(fx.documents(spark, sf_dir), _schema())
+
+
+@query()
+def normalized_services(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ex.extras_cover(fx.documents(spark, sf_dir), fx.aliases(fx.SERVICES))
+    out = ma.normalised_services(rows, [n for n, _ in fx.SERVICES])
+    return out.select("doc_id", F.to_json("normalized_names").alias("normalized_names"))

@@ -12,10 +12,18 @@ from tallgrass.functions import text as t
 from tallgrass.operators.evaluate import METRICS
 
 
-def results(extracted: DataFrame, vertical: str, version: str, provider: str = "rules", model: str = "rules", path: str = "path") -> DataFrame:
-    """(output_path, json): each document's result with its header, and where it goes."""
-    head = F.struct(F.lit(vertical).alias("vertical"), F.lit(version).alias("schema_version"), F.col(path).alias("source_path"), t.now_utc().alias("extracted_at"), F.lit(provider).alias("provider"), F.lit(model).alias("model"), F.parse_json("data").alias("data"), "warnings")
-    return extracted.select(t.output_path(F.col(path), vertical).alias("output_path"), F.to_json(head).alias("json"))
+def results(extracted: DataFrame, vertical: str, version: str, provider: str = "rules", model: str = "rules", path: str = "path", evidences: DataFrame | None = None, names: DataFrame | None = None) -> DataFrame:
+    """(output_path, json): each document's result with its header, and where it goes.
+
+    evidences (path, evidences) and names (path, normalized_names) are added where given.
+    """
+    out, more = extracted, []
+    for df, column in ((evidences, "evidences"), (names, "normalized_names")):
+        if df is not None:
+            out = out.join(df, path, "left")
+            more.append(column)
+    head = F.struct(F.lit(vertical).alias("vertical"), F.lit(version).alias("schema_version"), F.col(path).alias("source_path"), t.now_utc().alias("extracted_at"), F.lit(provider).alias("provider"), F.lit(model).alias("model"), F.parse_json("data").alias("data"), *more, "warnings")
+    return out.select(t.output_path(F.col(path), vertical).alias("output_path"), F.to_json(head).alias("json"))
 
 
 def write_results(rows: DataFrame, folder: str) -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.operators import crawl as cr
 from tallgrass.operators import extract as ex
+from tallgrass.operators import match as ma
 from tallgrass.plans import pipelines as pl
 from tallgrass.sources import readers, schemas, sinks
 from tallgrass.streaming import ingest
@@ -169,8 +170,14 @@ def test_batch(spark, tmp_path):
     where = sinks.write_report(made.summary, made.reports, str(tmp_path / "out"))
     assert json.loads(where[0].read_text())["reports"][0]["product_key"] == "7792534363"
     assert "## in/PDFs/F1/hospital/a.pdf" in where[1].read_text() and "- field_precision: 0." in where[1].read_text()
-    sinks.write_results(sinks.results(made.extracted, s.vertical, s.version), str(tmp_path / "results"))
-    assert spark.read.json(str(tmp_path / "results")).count() == 2
+    seen = ex.evidence_map(ex.evidence_rows(docs(spark, a=TEXT), s, "path", "full_text"), "path")
+    names = ma.normalised_services(ex.extras_cover(docs(spark, a=TEXT), s.extras.alias_table(), "path", "full_text"), s.extras.canonical_names, "path")
+    sinks.write_results(sinks.results(made.extracted, s.vertical, s.version, evidences=seen, names=names), str(tmp_path / "results"))
+    written = {r["output_path"]: json.loads(r["json"]) for r in spark.read.json(str(tmp_path / "results")).collect()}
+    a = written["outputs/private_health/extractions/PDFs/F1/hospital/a.json"]
+    assert len(written) == 2 and a["schema_version"] == "2.0" and a["data"]["hospital"]["hospital_tier"] == "Gold"
+    assert [e["text"] for e in a["evidences"]["hospital.clinical_categories.RedThing"]] == ["includes cover for red thing"]
+    assert [n["canonical"] for n in a["normalized_names"]] == ["Gear", "Bolt"]
 
 
 def test_documents(spark, tmp_path):

@@ -207,7 +207,7 @@ def main(argv: list[str] | None = None) -> int:
     made = batch(docs, schema, readers.read_truth(spark, a.truth) if a.truth else None)
     sinks.write_results(sinks.results(made.extracted, schema.vertical, schema.version), f"{a.output}/extractions")
     if a.command == "batch" and made.reports is not None:
-        sinks.write_report(made.summary, made.reports, f"{a.output}/evaluation")
+        sinks.write_report(made.reports, f"{a.output}/evaluation")
     return 0
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.functions import text as t
-from tallgrass.operators.evaluate import METRICS
+from tallgrass.operators.evaluate import METRICS, summarise
 
 
 def results(extracted: DataFrame, vertical: str, version: str, provider: str = "rules", model: str = "rules", path: str = "path", evidences: DataFrame | None = None, names: DataFrame | None = None) -> DataFrame:
@@ -40,34 +41,34 @@ def write_contents(downloads: DataFrame, folder: str) -> None:
     downloads.where("status = 'success'").select("fund_code", "product_type", "local_path", "content_hash", "content").write.mode("append").partitionBy("fund_code", "product_type").parquet(folder)
 
 
-def report_json(summary: dict[str, float], reports: list[dict]) -> str:
-    return json.dumps({"summary": summary, "reports": reports}, indent=2)
-
-
 def report_markdown(reports: DataFrame, path: str = "path", key: str = "product_key") -> DataFrame:
-    """(path, section): each document's section of a report."""
+    """reports with `section`, each document's part of the report in Markdown."""
     shown = ("field_precision", "field_recall", "coverage", "hallucination_rate")
     lines = [F.concat(F.lit(f"- {m}: "), F.format_string("%.3f", F.col(m))) for m in shown]
     named = F.coalesce(F.col(key), F.lit("unmatched")) if key in reports.columns else F.lit("unmatched")
-    return reports.select(path, F.concat_ws("\n", F.concat(F.lit("## "), F.col(path)), F.concat(F.lit("- product: "), named), *lines).alias("section"))
+    return reports.withColumn("section", F.concat_ws("\n", F.concat(F.lit("## "), F.col(path)), F.concat(F.lit("- product: "), named), *lines))
 
 
-def write_report(summary: DataFrame, reports: DataFrame, folder: str, path: str = "path") -> tuple[Path, Path]:
+def write_report(reports: DataFrame, folder: str, path: str = "path") -> tuple[Path, Path]:
     """evaluation.json and evaluation.md of a run's reports, which are a row per labelled document.
 
-    Reports stream to the driver partition by partition and are written as they come.
+    The reports are computed once, kept on the executors' disks for their summary
+    and their order, and stream to the driver, which writes both files in one pass.
     """
     where = Path(folder)
     where.mkdir(parents=True, exist_ok=True)
-    means = summary.first().asDict()
-    ordered = reports.orderBy(path)
-    with (where / "evaluation.json").open("w", encoding="utf-8") as f:
-        f.write('{"summary": ' + json.dumps(means) + ', "reports": [')
-        for n, row in enumerate(ordered.toLocalIterator()):
-            f.write(("," if n else "") + "\n" + json.dumps(row.asDict(recursive=True)))
-        f.write("\n]}\n")
-    with (where / "evaluation.md").open("w", encoding="utf-8") as f:
-        f.write("# Evaluation\n\n" + "".join(f"- {m}: {means[m]:.3f}\n" for m in METRICS))
-        for row in report_markdown(ordered, path).toLocalIterator():
-            f.write(f"\n{row['section']}\n")
+    reports = reports.persist(StorageLevel.DISK_ONLY)
+    try:
+        means = summarise(reports).first().asDict()
+        rows = report_markdown(reports, path).orderBy(path)
+        with (where / "evaluation.json").open("w", encoding="utf-8") as f, (where / "evaluation.md").open("w", encoding="utf-8") as md:
+            f.write('{"summary": ' + json.dumps(means) + ', "reports": [')
+            md.write("# Evaluation\n\n" + "".join(f"- {m}: {means[m]:.3f}\n" for m in METRICS))
+            for n, row in enumerate(rows.toLocalIterator()):
+                fields = row.asDict(recursive=True)
+                md.write(f"\n{fields.pop('section')}\n")
+                f.write(("," if n else "") + "\n" + json.dumps(fields))
+            f.write("\n]}\n")
+    finally:
+        reports.unpersist()
     return where / "evaluation.json", where / "evaluation.md"

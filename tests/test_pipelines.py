@@ -167,7 +167,7 @@ def test_batch(spark, tmp_path):
     r = made.reports.collect()
     assert [(x["path"], x["product_key"], x["ground_truth_fields"]) for x in r] == [("in/PDFs/F1/hospital/a.pdf", "7792534363", 9)]
     assert made.summary.first()["documents"] == 1 and 0 < r[0]["field_recall"] < 1 and r[0]["normalization_accuracy"] == 1.0
-    where = sinks.write_report(made.summary, made.reports, str(tmp_path / "out"))
+    where = sinks.write_report(made.reports, str(tmp_path / "out"))
     assert json.loads(where[0].read_text())["reports"][0]["product_key"] == "7792534363"
     assert "## in/PDFs/F1/hospital/a.pdf" in where[1].read_text() and "- field_precision: 0." in where[1].read_text()
     seen = ex.evidence_map(ex.evidence_rows(docs(spark, a=TEXT), s, "path", "full_text"), "path")

@@ -19,8 +19,9 @@ from tallgrass.llm import common as c
 
 #: Keys per bucket of the perfect hash.
 LOAD = 2
-#: Entries in each of the two generations of a worker's memo, and the longest stretch of text that it keeps.
-MEMO, MEMO_CHARS = 400_000, 48
+#: Entries in each of the two generations of a worker's memo, the longest stretch of text that it keeps, and the
+#: marks by which it knows words that it has met once: a word enters the memo when it is met again.
+MEMO, MEMO_CHARS, MARKS = 150_000, 48, 1 << 22
 
 _LOW = (1 << 64) - 1
 #: A space between two characters that aren't white space: no match of the pattern spans the place before it.
@@ -89,6 +90,7 @@ class Encoder:
                     self.pair[left << 20 | right] = i
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.met = bytearray(MARKS)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a pre-token that is no token: joins the pair of lowest rank, leftmost first, until none is left."""
@@ -119,23 +121,29 @@ class Encoder:
 
     def stretch(self, text: str) -> bytes:
         """Packed ids of a stretch that no match of the pattern crosses."""
-        out: list[int] = []
+        out = []
         for token in self.pattern.findall(text):
-            piece = token.encode()
-            if (i := self.hash.get(piece)) >= 0:
-                out.append(i)
-            else:
-                out += self.merge(piece)
-        return np.array(out, "<u4").tobytes()
+            # a word that was met before, here with other characters around it
+            got = self.new.get(token[1:]) if token[0] == " " and len(token) < len(text) else None
+            if got is None:
+                piece = token.encode()
+                i = self.hash.get(piece)
+                got = np.array([i] if i >= 0 else self.merge(piece), "<u4").tobytes()
+            out.append(got)
+        return b"".join(out)
 
     def later(self, word: str) -> bytes:
         """Packed ids of a space and a word; both generations of the memo missed or only the older has it."""
         got = self.old.get(word)
         if got is None:
             got = self.stretch(" " + word)
+            mark = hash(word) & (MARKS - 1)
+            if not self.met[mark]:
+                self.met[mark] = 1
+                return got
         if len(word) <= MEMO_CHARS:
             if len(self.new) >= MEMO:
-                self.old, self.new = self.new, {}
+                self.old, self.new, self.met = self.new, {}, bytearray(MARKS)
             self.new[word] = got
         return got
 

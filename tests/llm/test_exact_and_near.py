@@ -269,3 +269,29 @@ def test_buckets_find_all_close_hashes(spark):
         pairs.append((a - (1 << 63), b - (1 << 63)))
     df = spark.createDataFrame(pairs, "a long, b long")
     assert df.where(~F.arrays_overlap(ld.bucket_keys(F.col("a")), ld.bucket_keys(F.col("b")))).count() == 0
+
+
+def test_alike_lines_are_found_by_edit_similarity_alone(spark):
+    r = random.Random(13)
+    words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(2, 10))) for _ in range(3000)]
+    pairs = []
+    while len(pairs) < 300:
+        w = r.choices(words, k=r.randint(8, 100))
+        x = " ".join(w)
+        for k in r.sample(range(len(w)), r.randint(1, max(1, len(w) // 7))):
+            w[k] = r.choice(words)
+        if x != " ".join(w) and ld.alike(x, " ".join(w)):
+            pairs.append((x, " ".join(w)))
+    rows = [(2 * i + k, x) for i, pair in enumerate(pairs) for k, x in enumerate(pair)]
+    lost = {x["doc_id"] for x in ld.line_dedup(frame(spark, rows)).collect() if x["n_dropped"]}
+    assert all(i % 2 for i in lost)
+    assert len(lost) >= 0.98 * len(pairs)
+
+
+def test_minhash_takes_words_and_lines_of_any_length(monkeypatch):
+    r = random.Random(5)
+    lines = [text(r, k) for k in (1, 3, 200, 40, 40, 40)] + ["é" * 30_000, "a"]
+    one = [ld.minhash([x], ld.Mins()) for x in lines]
+    monkeypatch.setattr(ld, "MIN_MEMO", 50)
+    bands, bits = ld.minhash(lines, ld.Mins())
+    assert (bands == np.concatenate([x[0] for x in one])).all() and (bits == np.concatenate([x[1] for x in one])).all()

@@ -124,6 +124,20 @@ def test_exchange_finds_alternation():
     assert of[0] == 0 and len(set(of[1::2])) == 1 and len(set(of[2::2])) == 1 and of[1] != of[2]
 
 
+def test_words_beyond_the_top_have_classes_of_their_own(spark):
+    """Words of two kinds that alternate, all rarer than TOP others and with endings that tell nothing."""
+    r = random.Random(3)
+    names = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(1600)]
+    often, one, two = names[:cl.TOP], names[600:1100], names[1100:]
+    texts = [" ".join(r.sample(often, len(often))) for _ in range(60)]
+    texts += [" ".join(x for _ in range(100) for x in (r.choice(one), r.choice(two))) for _ in range(150)]
+    pairs = [(r.choice(one), r.choice(two)) for _ in range(300)]
+    swapped = " ".join(x for a, b in zip(pairs[::2], pairs[1::2], strict=True) for x in (a[0], b[0], a[1], b[1]))
+    rows = [*enumerate(texts), (9001, " ".join(x for p in pairs for x in p)), (9002, swapped)]
+    got = {x["doc_id"]: x["score"] for x in cl.class_lm(frame(spark, rows), F.col("doc_id") > 9000).collect()}
+    assert got[9001] - got[9002] > 400
+
+
 def test_frequent_words_stay_under_the_bound(spark):
     vocabulary = spark.range(1, 5001).select(F.col("id").alias("h"), F.lit(0).alias("ending"), (F.lit(100_000) / F.col("id")).cast("long").alias("n"))
     got = cl.frequent(vocabulary, 300)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from typing import NamedTuple
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
@@ -41,7 +42,9 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, ...]] = []
     run: list[str] = []
     path: tuple[tuple[str, ...], ...] = ()
-    links = linked = at = 0
+    # open elements beyond the stack, by tag, and how many of them are blocks
+    deep: Counter[str] = Counter()
+    links = linked = at = inner = 0
     lower = ""
 
     def flush() -> None:
@@ -82,16 +85,22 @@ def blocks(page: str) -> list[Block]:
         if closing:
             if tag in ("html", "body"):
                 continue
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    if not block:
-                        del stack[i]
-                    else:
-                        del stack[i:]
-                    break
-                if not block and stack[i][0] in BLOCKS:
-                    break
-            links = sum(x[0] == "a" for x in stack)
+            if deep[tag]:
+                deep[tag] -= 1
+                inner -= block
+            elif block or not inner:
+                for i in range(len(stack) - 1, -1, -1):
+                    if stack[i][0] == tag:
+                        if not block:
+                            del stack[i]
+                        else:
+                            del stack[i:]
+                            deep.clear()
+                            inner = 0
+                        break
+                    if not block and stack[i][0] in BLOCKS:
+                        break
+            links = sum(x[0] == "a" for x in stack) + deep["a"]
             continue
         if tag == "br":
             if run:
@@ -108,27 +117,33 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID:
             continue
         if block:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    del stack[i:]
-                    break
-                if stack[i][0] in BLOCKS:
-                    break
-            if tag in CLOSES:
-                ends, holds = CLOSES[tag]
-                low = None
+            if not inner:
                 for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in holds:
+                    if stack[i][0] == "p":
+                        del stack[i:]
+                        deep.clear()
+                        break
+                    if stack[i][0] in BLOCKS:
                         break
-                    if stack[i][0] in ends:
-                        low = i
-                if low is not None:
-                    del stack[low:]
-            links = sum(x[0] == "a" for x in stack)
+                if tag in CLOSES:
+                    ends, holds = CLOSES[tag]
+                    low = None
+                    for i in range(len(stack) - 1, -1, -1):
+                        if stack[i][0] in holds:
+                            break
+                        if stack[i][0] in ends:
+                            low = i
+                    if low is not None:
+                        del stack[low:]
+                        deep.clear()
+            links = sum(x[0] == "a" for x in stack) + deep["a"]
         elif tag == "a":
             links = 1
         if len(stack) < 512:
             stack.append(element(tag, rest) if block else (tag,))
+        else:
+            deep[tag] += 1
+            inner += block
     flush()
     return out
 

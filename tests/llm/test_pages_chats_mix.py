@@ -30,6 +30,18 @@ def test_every_operator_has_a_query():
 # Pages
 
 
+def test_text_behind_a_deep_nest_keeps_its_ancestors():
+    got = hb.blocks("<article><div class=body>" + "<div>" * 900 + "in" + "</div>" * 900 + "<p>after</p></div></article><p>out")
+    assert [x.text for x in got] == ["in", "after", "out"]
+    assert got[1].path == (("article",), ("div", "body"), ("p",)) and [x[0] for x in got[2].path] == ["p"]
+
+
+def test_text_behind_many_unclosed_inline_tags_keeps_its_ancestors():
+    got = hb.blocks("<article><div class=body>" + "<b>" * 900 + "one<div>two</div>three</div></article><p>four")
+    assert [x.text for x in got] == ["one", "two", "three", "four"]
+    assert got[2].path == (("article",), ("div", "body")) and [x[0] for x in got[3].path] == ["p"]
+
+
 def test_blocks():
     page = """<!doctype html><title>no</title><script>var x = "<p>no</p>";</script><style>p{}</style><!-- <p>no</p> -->
     <p>one <b>bold</b><br>same&nbsp;block &lt;x&gt; &copy &#233;<p>two<div>three<p>four</div>five<ul><li>a<li>b <a href=x title="1>0">link</a></ul><textarea>no</textarea>six <3 seven</body></html> eight"""

@@ -6,10 +6,11 @@ size follows the corpus, or uses localCheckpoint.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -19,16 +20,16 @@ from pyspark.sql import functions as F
 
 from tallgrass.operators.skew import attach, same
 
-__all__ = ["attach", "by_size", "components", "forest", "prepare", "runs", "same", "scratch", "small", "stored", "tiles"]
+__all__ = ["attach", "by_size", "components", "forest", "in_arrow", "prepare", "released", "runs", "same", "scratch", "small", "stored", "tiles"]
 
 #: Characters that separate words, and that exact dedup deletes.
 SPACES = " \t\n\x0b\x0c\r"
 #: A word, as a regular expression for Spark.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Most rows of a narrow table (ids and a few numbers) that are broadcast; larger ones are joined by a shuffle.
-BROADCAST_ROWS = 500_000
-#: Rows and bytes of an Arrow batch, so that a batch of long texts stays small.
-BATCH_ROWS, BATCH_BYTES = 1_000, 16 << 20
+#: Most rows and bytes of a table that is broadcast; larger ones are joined by a shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 24 << 20
+#: Rows and bytes of an Arrow batch, so that a batch of long texts stays small; settings of the user's own go first.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1_000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -41,11 +42,27 @@ def prepare(spark: SparkSession) -> SparkSession:
                 z.write(p, p.relative_to(root.parent))
         context.addPyFile(f.name)
         context._tallgrass_sent = True
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    for name, most in BATCH.items():
+        if spark.conf.get(name, "7") == "7":
+            spark.conf.set(name, str(most))
     return spark
 
 
+def released(out: Iterator) -> Iterator:
+    """out, and at its end the worker gives back what its allocators hold: workers live on from stage to stage."""
+    try:
+        yield from out
+    finally:
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+
+def in_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """df.mapInArrow by a function whose worker gives memory back after each task."""
+    return df.mapInArrow(lambda batches: released(f(batches)), schema)
+
+
 def scratch(spark: SparkSession) -> str:
     """The shared folder of spark.checkpoint.dir; one of our own only in local mode where it is unset."""
     where = spark.conf.get("spark.checkpoint.dir", None)
@@ -65,26 +82,35 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: Column | None = None) -> bool:
-    """Whether df, a stored narrow table, has at most so many rows; size tells how many a row counts for."""
-    return (df.agg(F.sum(F.lit(1) if size is None else 1 + size)).first()[0] or 0) <= rows
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> bool:
+    """Whether df, a stored table, has at most so many rows and bytes."""
+    wide = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    many = [f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "map")]
+    size = F.lit(16 * len(df.columns))
+    for x in wide:
+        size = size + F.coalesce(F.octet_length(x), F.lit(0))
+    for x in many:
+        size = size + 32 * F.greatest(F.size(x), F.lit(0))
+    n, total = df.agg(F.count(F.lit(1)), F.sum(size.cast("long"))).first()
+    return n <= rows and (total or 0) <= most
 
 
-def by_size(df: DataFrame, rows: int = BROADCAST_ROWS, size: Column | None = None) -> DataFrame:
-    """df with a broadcast hint if its rows were counted and are few; else as it is, for a shuffled join."""
-    return F.broadcast(df) if small(df, rows, size) else df
+def by_size(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df with a broadcast hint if its rows and bytes were counted and are few; else as it is, for a shuffled join."""
+    return F.broadcast(df) if small(df, rows) else df
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) of every node of the edges; root is its component's smallest node.
 
     Alternates large-star and small-star, each an aggregation and a join on
-    narrow rows; the edges are written after every round. A hub's row lists are
-    never gathered: its smallest neighbour is an aggregate that is joined back.
+    narrow rows; the edges are written after every round, until a round changes
+    nothing. A hub's row lists are never gathered: its smallest neighbour is an
+    aggregate that is joined back.
     """
     e = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
     seen = None
-    for _ in range(most_rounds):
+    while True:
         both = e.union(e.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
         large = stored(star(both.where("v > u"), low.withColumn("m", F.least("u", "m")), 2 * e.count()))
@@ -94,8 +120,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select("v", "v").distinct())
 
 

@@ -14,22 +14,24 @@ from tallgrass.llm import common as c
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
-#: A (language, source) or a language has cutoffs of its own with at least so many documents, and at least
-#: 1/GROUPS of all; so there are at most GROUPS of either, and they can be broadcast.
-LEAST, GROUPS = 200, 4096
-#: Quantile sketches keep 2**LOG_K entries or so at each level.
-LOG_K = 10
-#: rate: (numerator, denominator, least spread that counts, spreads between the upper quartile and the cutoff).
+#: Quantile sketches keep so many values at each level; smaller groups are kept exactly.
+SKETCH = 800
+#: The cutoff of a rate lies TIMES spreads above the group's median; its spread is the distance from there to UPPER.
+UPPER, TIMES = 0.9, 8.0
+#: A group's median and spread count as so many documents of its parent's: (language, source), language, all.
+PARENT = 200
+#: A spread is at most so many times the parent's: a source of junk does not excuse itself.
+SLACK = 2.0
+#: rate: (numerator, denominator, resolution). A spread below the resolution, as in groups nearly all of
+#: whose documents have none of a thing, counts as the resolution.
 RATES = {
-    "symbol_rate": ("n_symbols", "n_words", 0.05, 4.0),
-    "dup_line_rate": ("n_dup_lines", "n_lines", 0.10, 4.0),
-    "repeat_rate": ("n_repeat_words", "n_words", 0.10, 4.0),
-    "echo_rate": ("n_echoes", "n_words", 0.05, 4.0),
-    "upper_rate": ("n_upper", "n_letters", 0.10, 4.0),
-    "word_length": ("word_chars", "n_words", 1.50, 4.0),
+    "symbol_rate": ("n_symbols", "n_words", 0.02),
+    "dup_line_rate": ("n_dup_lines", "n_lines", 0.05),
+    "repeat_rate": ("n_repeat_words", "n_words", 0.036),
+    "echo_rate": ("n_echoes", "n_words", 0.002),
+    "upper_rate": ("n_upper", "n_letters", 0.002),
+    "word_length": ("word_chars", "n_words", 0.05),
 }
-#: A group's cutoff lies at most so many least spreads above the cutoff over all documents: a source of junk does not excuse itself.
-SLACK = 2.0
 
 _rng = np.random.default_rng(20)
 _WEIGHTS = _rng.integers(1, 1 << 63, WINDOW, dtype=np.uint64) | np.uint64(1)
@@ -97,9 +99,12 @@ def measured(df: DataFrame, text_col: str = "text", name: str = "__tg_q") -> Dat
 
     @F.arrow_udf(schema)
     def measure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            rows = np.array([counts(x.as_py()) for x in texts], np.int64).reshape(-1, len(COUNTS))
-            yield pa.StructArray.from_arrays([pa.array(rows[:, i]) for i in range(len(COUNTS))], list(COUNTS))
+        def each() -> Iterator[pa.Array]:
+            for texts in batches:
+                rows = np.array([counts(x.as_py()) for x in texts], np.int64).reshape(-1, len(COUNTS))
+                yield pa.StructArray.from_arrays([pa.array(rows[:, i]) for i in range(len(COUNTS))], list(COUNTS))
+
+        return c.released(each())
 
     return df.withColumn(name, measure(F.col(text_col).cast("string")))
 
@@ -110,57 +115,61 @@ def base_failed(q: str = "__tg_q") -> Column:
 
 
 def rate(name: str, q: str = "__tg_q") -> Column:
-    top, below, _, _ = RATES[name]
+    top, below, _ = RATES[name]
     return F.coalesce(F.col(f"{q}.{top}") / F.nullif(F.col(f"{q}.{below}").cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
-def learn(rows: DataFrame, lang: str = "lang", source: str = "source", q: str = "__tg_q") -> DataFrame:
-    """(level, lang, source, cut_<rate>...): one row over all, and one per large enough language and (language, source).
+def learn(rows: DataFrame, lang: str = "lang", source: str = "source", q: str = "__tg_q") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cutoffs of every (language, source), of every language, and of all: (keys..., n, cuts), where cuts is a struct by rate.
 
     rows are stored measurements of documents that pass the base rules. One
     sketch per rate and (language, source) is aggregated, partially before the
     shuffle; sketches merge upward to languages and to all. Null is a value of
-    either column. The cutoff is the upper quartile plus a multiple of its distance
-    from the median (or of the least spread), at most SLACK least spreads over that
-    of all documents.
+    either column. A group's median and spread are weighed with its parent's by
+    numbers of documents (PARENT), so that a group of any size has cutoffs of its own,
+    whatever else the table holds.
     """
-    k = F.lit(LOG_K * 20)
+    k = F.lit(SKETCH)
     parts = rows.groupBy(F.col(lang).alias("lang"), F.col(source).alias("source")).agg(
         F.count(F.lit(1)).alias("n"), *(F.kll_sketch_agg_double(rate(x, q), k).alias(x) for x in RATES))
     parts = c.stored(parts)
     merged = [F.sum("n").alias("n"), *(F.kll_merge_agg_double(x, k).alias(x) for x in RATES)]
-    langs = parts.groupBy("lang").agg(*merged).withColumn("source", F.lit(None).cast("string"))
-    whole = parts.agg(*merged).withColumn("lang", F.lit(None).cast("string")).withColumn("source", F.lit(None).cast("string"))
-    total = rows.count()
-    enough = (F.col("n") >= LEAST) & (F.col("n") * GROUPS >= F.lit(total))
-    cols = ["lang", "source", "n", *RATES]
-    levels = parts.where(enough).select(F.lit(2).alias("level"), *cols).unionByName(langs.where(enough).select(F.lit(1).alias("level"), *cols)).unionByName(whole.where("n > 0").select(F.lit(0).alias("level"), *cols))
-
-    def cut(x: str) -> Column:
-        _, _, least, times = RATES[x]
-        at = lambda p: F.kll_sketch_get_quantile_double(x, F.lit(p))
-        return at(0.75) + times * F.greatest(at(0.75) - at(0.5), F.lit(least))
-
-    cuts = c.stored(levels.select("level", "lang", "source", "n", *(cut(x).alias(f"cut_{x}") for x in RATES)))
-    overall = cuts.where("level = 0").select(F.struct(*(f"cut_{x}" for x in RATES))).scalar()
-    capped = (F.least(F.col(f"cut_{x}"), overall[f"cut_{x}"] + SLACK * RATES[x][2]).alias(f"cut_{x}") for x in RATES)
-    return c.stored(cuts.select("level", "lang", "source", "n", *capped))
-
-
-def judged(df: DataFrame, cuts: DataFrame, lang: str = "lang", source: str = "source", q: str = "__tg_q") -> DataFrame:
-    """df, which has measurements, with booleans __tg_base_failed and __tg_kept. cuts has at most 2 * GROUPS + 1 rows and is broadcast."""
-    names = [f"cut_{x}" for x in RATES]
-    cuts = F.broadcast(cuts)
-    own = cuts.where("level = 2").select(F.col("lang").alias("__tg_l2"), F.col("source").alias("__tg_s2"), F.struct(*names).alias("__tg_c2"))
-    mid = cuts.where("level = 1").select(F.col("lang").alias("__tg_l1"), F.struct(*names).alias("__tg_c1"))
-    top = cuts.where("level = 0").select(F.struct(*names)).scalar()
-    out = df.join(F.broadcast(own), F.col(lang).eqNullSafe(F.col("__tg_l2")) & F.col(source).eqNullSafe(F.col("__tg_s2")), "left")
-    out = out.join(F.broadcast(mid), F.col(lang).eqNullSafe(F.col("__tg_l1")), "left").withColumn("__tg_c0", top)
+    langs = c.stored(parts.groupBy("lang").agg(*merged))
+    whole = langs.agg(*merged).where("n > 0")
+
+    def facts(df: DataFrame, *keys: str) -> DataFrame:
+        at = lambda x, p: F.kll_sketch_get_quantile_double(x, F.lit(p))
+        return df.select(*keys, "n", *(F.struct(at(x, 0.5).alias("mid"), (at(x, UPPER) - at(x, 0.5)).alias("spread")).alias(x) for x in RATES))
+
+    def drawn(own: DataFrame, *keys: str) -> DataFrame:
+        """own, with the parent's facts in p_<rate>, drawn towards them."""
+        share = F.col("n") / (F.col("n") + PARENT)
+        out = []
+        for x, (_, _, least) in RATES.items():
+            mid = share * F.col(x)["mid"] + (1 - share) * F.col(f"p_{x}")["mid"]
+            spread = share * F.col(x)["spread"] + (1 - share) * F.col(f"p_{x}")["spread"]
+            out.append(F.struct(mid.alias("mid"), F.least(spread, SLACK * F.greatest(F.col(f"p_{x}")["spread"], F.lit(least))).alias("spread")).alias(x))
+        return own.select(*keys, "n", *out)
+
+    def cut(df: DataFrame, *keys: str) -> DataFrame:
+        return c.stored(df.select(*keys, "n", F.struct(*((F.col(x)["mid"] + TIMES * F.greatest(F.col(x)["spread"], F.lit(least))).alias(x) for x, (_, _, least) in RATES.items())).alias("cuts")))
+
+    top = c.stored(facts(whole))
+    above = top.select(F.struct(*RATES)).scalar()
+    middle = facts(langs, "lang").withColumn("_p", above).select("*", *(F.col("_p")[x].alias(f"p_{x}") for x in RATES))
+    middle = c.stored(drawn(middle, "lang"))
+    over = middle.select("lang", "n", *(F.col(x).alias(f"p_{x}") for x in RATES)).withColumnRenamed("n", "_docs")
+    low = c.attach(facts(parts, "lang", "source"), over, ["lang"], "_docs")
+    return cut(drawn(low, "lang", "source"), "lang", "source"), cut(middle, "lang"), cut(top)
+
+
+def judged(df: DataFrame, cuts: DataFrame, total: int, q: str = "__tg_q") -> DataFrame:
+    """df, which has measurements, lang and source, with booleans base_failed and kept: no rate lies above its (language, source)'s cutoff."""
+    out = c.attach(df, cuts, ["lang", "source"], "n", total)
     over = F.lit(False)
     for x in RATES:
-        over = over | F.coalesce(rate(x, q) > F.coalesce("__tg_c2", "__tg_c1", "__tg_c0")[f"cut_{x}"], F.lit(False))
-    out = out.withColumn("__tg_base_failed", base_failed(q)).withColumn("__tg_kept", ~F.col("__tg_base_failed") & ~over)
-    return out.drop("__tg_l2", "__tg_s2", "__tg_c2", "__tg_l1", "__tg_c1", "__tg_c0")
+        over = over | F.coalesce(rate(x, q) > F.col("cuts")[x], F.lit(False))
+    return out.withColumn("base_failed", base_failed(q)).withColumn("kept", ~F.col("base_failed") & ~over)
 
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -172,16 +181,20 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     columns are ignored.
     """
     rows = c.stored(measured(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"), F.col(lang).alias("lang"), F.col(source).alias("source")), "_text").drop("_text"))
-    out = judged(rows, learn(rows.where(~base_failed())), "lang", "source")
-    return out.select(F.col("id").alias(id_col), *(F.col(f"__tg_q.{x}").alias(x) for x in COUNTS[:5]), F.col("__tg_base_failed").alias("base_failed"), F.col("__tg_kept").alias("kept"))
+    cuts, _, _ = learn(rows.where(~base_failed()))
+    out = judged(rows, cuts, rows.count())
+    return out.select(F.col("id").alias(id_col), *(F.col(f"__tg_q.{x}").alias(x) for x in COUNTS[:5]), "base_failed", "kept")
 
 
 def drop_bad(df: DataFrame, text_col: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The rows of df that the rules keep, with df's own columns.
 
-    Texts are measured twice, for the cutoffs and for the verdict, so that no text
-    is shuffled and no join by id is needed.
+    Texts are measured once: the rows that pass the base rules are stored with
+    their measurements, and filtered from there. No join is by id. The cutoffs are
+    broadcast while they are few, else joined.
     """
-    rows = c.stored(measured(df.select(F.col(text_col).alias("_text"), F.col(lang).alias("lang"), F.col(source).alias("source")), "_text").drop("_text"))
-    cuts = learn(rows.where(~base_failed()))
-    return judged(measured(df, text_col), cuts, lang, source).where("__tg_kept").select(*df.columns)
+    own = [F.col(x).alias(f"c{i}") for i, x in enumerate(df.columns)]
+    rows = df.select(*own, F.col(text_col).cast("string").alias("_text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
+    rows = c.stored(measured(rows, "_text").drop("_text").where(~base_failed()))
+    cuts, _, _ = learn(rows)
+    return judged(rows, c.by_size(cuts), rows.count()).where("kept").select(*(F.col(f"c{i}").alias(x) for i, x in enumerate(df.columns)))

@@ -186,11 +186,15 @@ def bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(root, parts, node, sig, set) of the texts that have the wanted key."""
+    """(root, parts, node, sig, set) of the texts that have the wanted key, each node once a partition."""
     memo = Hashes()
+    seen: set[int] = set()
     for batch in batches:
         keep, sig, sets = [], [], []
-        for n, (text, key) in enumerate(zip(batch.column(0), batch.column(1), strict=True)):
+        for n, (text, key, node) in enumerate(zip(batch.column(0), batch.column(1), batch.column(4).to_pylist(), strict=True)):
+            if node in seen:
+                continue
+            seen.add(node)
             w = (text.as_py() or "").encode().split()
             if xxhash.xxh3_128_digest(b" ".join(w)) == key.as_py():
                 s = shingles(w, memo)
@@ -247,55 +251,72 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     shuffled; no pairs are, except for as many as connect a group. A bucket or group
     that is too large for one task is cut into tiles that meet pairwise.
     """
+    out = joined(df, id_col, text_col)
+    return out.select(F.col("id").alias(id_col), F.col("rep").alias("class_id"), F.col("members").alias("class_size"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), "cluster_id")
+
+
+def joined(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, print, row, rep, members, links, cluster_id, kept) per row of df; print is a hash of the text, and one row of each cluster is kept."""
     c.prepare(df.sparkSession)
     ident = df.schema[id_col].dataType.simpleString()
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = c.stored(docs.select(F.monotonically_increasing_id().alias("row"), "id", "text").mapInArrow(described, f"row long, id {ident}, key binary, size long, sig binary"))
+    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("print", F.xxhash64("text"))
+    numbered = docs.select(F.struct(F.monotonically_increasing_id().alias("row"), "print").alias("row"), "id", "text")
+    rows = c.stored(c.in_arrow(numbered, described, f"row struct<row:bigint,print:bigint>, id {ident}, key binary, size long, sig binary").select("row.*", "id", "key", "size", "sig"))
     total = rows.count()
-    best = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "row"))
-    classes = c.stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"), best.alias("best")).select("key", "members", F.col("best.id").alias("rep"), F.col("best.row").alias("node")))
-    reps = c.stored(c.attach(rows.where("size > 0"), classes, ["key"], "members", total).where("row = node").select("node", "rep", "key", "size", "sig"))
+    best = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "row", "print"))
+    classes = c.stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"), best.alias("best")).select("key", "members", F.col("best.id").alias("rep"), F.col("best.row").alias("node"), F.col("best.print").alias("rep_print")))
+    reps = c.stored(c.attach(rows.where("size > 0"), classes, ["key"], "members", total).where("row = node").select("node", "rep", "rep_print", "key", "size", "sig"))
 
-    bands = c.stored(reps.select("node", "sig").mapInArrow(banded, "bucket long, band int, row long"))
+    bands = c.stored(c.in_arrow(reps.select("node", "sig"), banded, "bucket long, band int, row long"))
     crowds = c.stored(bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1"))
     met = c.attach(bands, crowds, ["bucket"], "crowd", bands.count()).where("crowd is not null")
     met = c.tiles(met, "bucket", F.ceil(F.col("crowd") / TILE), "row").drop("crowd")
     met = met.join(reps.select(F.col("node").alias("row"), "sig"), "row").select("bucket", "i", "j", "band", "side", "row", "sig")
-    likely = met.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(bucketed, "a long, b long")
+    likely = c.in_arrow(met.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"), bucketed, "a long, b long")
     groups = c.components(likely)
 
-    groups = groups.join(reps.select("node", "rep", "key", "size"), "node")
+    groups = groups.join(reps.select("node", "rep", "rep_print", "key", "size"), "node")
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("crowd"), F.greatest(F.ceil(F.count(F.lit(1)) / TILE), F.ceil(F.sum("size") / TILE_SHINGLES)).cast("int").alias("parts"))
-    groups = c.stored(c.attach(groups, c.stored(sizes), ["root"], "crowd", total).select("root", "parts", "node", "rep", "key"))
-    wanted = docs.join(c.by_size(groups), docs["id"].eqNullSafe(F.col("rep"))).select("text", "key", "root", "parts", "node")
-    sets = wanted.mapInArrow(shingled, "root long, parts int, node long, sig binary, set binary")
+    groups = c.stored(c.attach(groups, c.stored(sizes), ["root"], "crowd", total).select("root", "parts", "node", "rep", "rep_print", "key"))
+    # a class is read again by the id and the text of its first row, so that rows of one id, or of none, don't multiply
+    found = c.same([docs["id"], docs["print"]], [F.col("rep"), F.col("rep_print")])
+    wanted = docs.join(c.by_size(groups), found).select("text", "key", "root", "parts", "node")
+    sets = c.in_arrow(wanted, shingled, "root long, parts int, node long, sig binary, set binary")
     sets = c.tiles(sets, "root", F.col("parts"), "node").select("root", "i", "j", "side", "parts", "node", "sig", "set")
-    found = c.stored(sets.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(verified, "node long, links long, root long, other long"))
+    found = c.stored(c.in_arrow(sets.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j"), verified, "node long, links long, root long, other long"))
     links = found.where("links > 0").groupBy("node").agg(F.sum("links").alias("links"), F.max("root").alias("root"))
     across = found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
     if across.limit(1).count():
         links = links.join(c.components(across).withColumnRenamed("root", "far"), "node", "left").withColumn("root", F.coalesce("root", "far")).drop("far")
     links = c.stored(links.join(reps.select("node", "rep"), "node"))
-    first = F.min(F.struct(F.col("rep").isNull().alias("z"), "rep"))["rep"]
-    names = c.stored(links.groupBy("root").agg(F.count(F.lit(1)).alias("crowd"), first.alias("cluster")))
-    links = c.attach(links, names, ["root"], "crowd", links.count()).select("node", "links", F.col("cluster").alias("cluster"))
+    first = F.min(F.struct(F.col("rep").isNull().alias("z"), "rep", "node"))
+    names = c.stored(links.groupBy("root").agg(F.count(F.lit(1)).alias("crowd"), first.alias("first")))
+    links = c.attach(links, names, ["root"], "crowd", links.count()).select("node", "links", "first")
     facts = classes.join(links, "node", "left")
-    out = c.attach(rows.select("id", "key"), facts.select("key", "members", "rep", "links", "cluster"), ["key"], "members", total)
+    out = c.attach(rows.select("row", "id", "print", "key"), facts.select("key", "members", "rep", "node", "links", "first"), ["key"], "members", total)
     return out.select(
-        F.col("id").alias(id_col),
-        F.col("rep").alias("class_id"),
-        F.col("members").alias("class_size"),
-        F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-        F.when(F.col("links") > 0, F.col("cluster")).otherwise(F.col("rep")).alias("cluster_id"),
+        "id", "print", "row", "rep", "members", "links",
+        F.when(F.col("links") > 0, F.col("first.rep")).otherwise(F.col("rep")).alias("cluster_id"),
+        (F.col("row") == F.coalesce("first.node", "node")).alias("kept"),
     )
 
 
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with one row of each cluster, the one whose id names it; texts without words are one cluster.
 
-    Rows with a null id, which cannot be told apart, stay. Rows are found again by
-    id; the ids to drop are broadcast while they are few, else joined.
+    Rows are found again by id and a hash of the text, so that one id may have
+    several texts, and rows without an id are told apart; of rows that agree in
+    both, one stays where their cluster keeps one. The keys to drop are broadcast
+    while they are few, else joined.
     """
-    out = ngram_join(df, id_col, text_col)
-    ids = c.stored(out.where(F.col(id_col) != F.col("cluster_id")).select(F.col(id_col).alias("__tg_id")).distinct())
-    return df.join(c.by_size(ids), df[id_col] == F.col("__tg_id"), "left_anti")
+    out = joined(df, id_col, text_col)
+    keys = out.groupBy(F.col("id").alias("__tg_id"), F.col("print").alias("__tg_print")).agg(F.max("kept").alias("__tg_kept"), F.count(F.lit(1)).alias("__tg_rows"))
+    keys = c.stored(keys.where("not __tg_kept or __tg_rows > 1"))
+    mine = ["__tg_id", "__tg_print"]
+    on = c.same([F.col(id_col), F.xxhash64(F.col(text_col).cast("string"))], [F.col(x) for x in mine])
+    left = df.join(c.by_size(keys.where("not __tg_kept").select(*mine)), on, "left_anti")
+    again = c.stored(keys.where("__tg_kept").select(*mine))
+    if not again.limit(1).count():
+        return left
+    one = left.join(c.by_size(again), on, "inner").dropDuplicates(mine).select(*(left[x] for x in df.columns))
+    return left.join(c.by_size(again), on, "left_anti").unionByName(one)

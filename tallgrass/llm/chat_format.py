@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 
@@ -51,29 +52,25 @@ def format_chats(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
 
     mask is an array of (start, length) in code points of `formatted`, from 0:
     the escaped texts of loss_roles, and nothing else.
-    A conversation's string is its result, so one row must hold it; turns are
-    gathered by an aggregate, once, from rows that hold only these four columns.
+    A conversation's string is its result, so one row must hold it. Places in it are
+    running sums over its sorted turns, in a window that shares the aggregate's one
+    exchange, so that time grows with the number of turns and not with its square.
     """
-    rows = df.select(
-        F.col(conv).alias("conv"),
-        F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).alias("t"),
-    )
-    turns = rows.groupBy("conv").agg(F.array_sort(F.collect_list("t")).alias("turns"))
-    part = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), escape_role(t["role"]).alias("r"), escape(t["text"]).alias("x")))
-    turns = turns.select("conv", part.alias("p"))
-    # runs of one role: a part opens a block unless the part before it has its role
-    opened = F.transform("p", lambda x, i: F.struct(
-        x["role"].isin(*loss_roles).alias("loss"),
-        F.when((i > 0) & (F.get("p", i - 1)["role"] == x["role"]), F.lit(SEP)).otherwise(F.concat(F.when(i > 0, F.lit(END + "\n")).otherwise(F.lit("")), F.lit(START), x["r"], F.lit("\n"))).alias("before"),
-        x["x"].alias("x"),
-    ))
-    turns = turns.select("conv", opened.alias("p"))
-    step = lambda a, x: F.struct((a["at"] + F.length(x["before"]) + F.length(x["x"])).cast("long").alias("at"), F.when(x["loss"], F.concat(a["mask"], F.array(F.struct((a["at"] + F.length(x["before"])).cast("long").alias("start"), F.length(x["x"]).cast("long").alias("length"))))).otherwise(a["mask"]).alias("mask"))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<struct<start:bigint,length:bigint>>)").alias("mask"))
+    kept = F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
+    rows = df.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), *kept)
+    order = Window.partitionBy("conv").orderBy("turn", "role", "text")
+    rows = rows.select("conv", "role", F.lag("role").over(order).alias("last"), F.row_number().over(order).alias("n"), escape_role(F.col("role")).alias("r"), escape(F.col("text")).alias("x"))
+    # a turn opens a block unless the turn before it has its role
+    opens = F.concat(F.when(F.col("last").isNotNull(), F.lit(END + "\n")).otherwise(F.lit("")), F.lit(START), F.col("r"), F.lit("\n"))
+    rows = rows.select("conv", "n", F.col("role").isin(*loss_roles).alias("loss"), F.when(F.col("last") == F.col("role"), F.lit(SEP)).otherwise(opens).alias("before"), "x")
+    end = F.sum(F.length("before") + F.length("x")).over(Window.partitionBy("conv").orderBy("n"))
+    under = F.when(F.col("loss"), F.struct((end - F.length("x")).cast("long").alias("start"), F.length("x").cast("long").alias("length")))
+    rows = rows.select("conv", F.struct("n", F.concat("before", "x").alias("piece"), under.alias("under")).alias("t"))
+    turns = rows.groupBy("conv").agg(F.array_sort(F.collect_list("t")).alias("p"))
     return turns.select(
         F.col("conv").alias(conv),
-        F.concat(F.array_join(F.transform("p", lambda x: F.concat(x["before"], x["x"])), ""), F.lit(END + "\n")).alias("formatted"),
-        F.aggregate("p", zero, step)["mask"].alias("mask"),
+        F.concat(F.array_join(F.transform("p", lambda t: t["piece"]), ""), F.lit(END + "\n")).alias("formatted"),
+        F.filter(F.transform("p", lambda t: t["under"]), lambda m: m.isNotNull()).alias("mask"),
     )
 
 
@@ -87,9 +84,7 @@ def read_back(df: DataFrame, conv: str = "conv_id") -> DataFrame:
         return F.transform(F.split(body, r"<\|im_sep\|>", -1), lambda x: F.struct(unescape_role(name).alias("role"), unescape(x).alias("text")))
 
     blocks = F.filter(F.split("formatted", r"<\|im_end\|>\n", -1), lambda b: b != "")
-    return df.select(
-        conv,
-        F.flatten(F.transform(blocks, parsed)).alias("turns"),
-        F.transform("mask", lambda m: unescape(F.substr(F.col("formatted"), (m["start"] + 1).cast("int"), m["length"].cast("int")))).alias("loss"),
-        "formatted",
-    )
+    # in four bytes for each code point any place is found at once; the outer function holds them for all places
+    cut = lambda whole, m: unescape(F.decode(F.substring(whole, (4 * m["start"] + 1).cast("int"), (4 * m["length"]).cast("int")), "UTF-32"))
+    under = F.transform(F.array(F.encode("formatted", "UTF-32")), lambda whole: F.transform("mask", lambda m: cut(whole, m)))
+    return df.select(conv, F.flatten(F.transform(blocks, parsed)).alias("turns"), under[0].alias("loss"), "formatted")

@@ -13,8 +13,10 @@ _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 BLOCKS = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noscript ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is no markup; nothing of it is text of the page.
-RAW = frozenset("iframe noembed noframes script style svg template textarea title xmp math object canvas audio video".split())
+#: Elements whose content is no markup, to the end of the page if it is not ended; nothing of it is text of the page.
+RAW = frozenset("iframe noembed noframes script style textarea title xmp".split())
+#: Elements whose content is not shown as text; without an end tag only the tag itself is left out.
+HIDDEN = frozenset("svg template".split())
 #: A start tag closes an open element of these kinds, down to the element that holds them.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
@@ -45,6 +47,7 @@ def blocks(page: str) -> list[Block]:
     # open elements beyond the stack, by tag, and how many of them are blocks
     deep: Counter[str] = Counter()
     links = linked = at = inner = 0
+    unended: set[str] = set()
     lower = ""
 
     def flush() -> None:
@@ -66,9 +69,10 @@ def blocks(page: str) -> list[Block]:
         if links:
             linked += len(piece)
 
-    n, search = len(page), _TOKEN.search
+    # no tag begins behind the last ">": it need not be looked for, from every "<" anew, to the end of the page
+    n, search, last = len(page), _TOKEN.search, page.rfind(">")
     while at < n:
-        m = search(page, at)
+        m = search(page, at) if at <= last or "<!--" in page[at:] else None
         if m is None:
             text(page[at:])
             break
@@ -106,13 +110,19 @@ def blocks(page: str) -> list[Block]:
             if run:
                 run.append(" ")
             continue
-        if tag in RAW:
-            if not rest.endswith("/") or tag not in ("svg", "math"):
-                lower = lower or page.lower()
-                lower = lower if len(lower) == n else _ascii_lower(page)
-                end = lower.find(f"</{tag}", at)
-                close = page.find(">", end) if end >= 0 else -1
-                at = close + 1 if close >= 0 else n
+        if tag in RAW or tag in HIDDEN and not rest.endswith("/") and tag not in unended:
+            lower = lower or page.lower()
+            lower = lower if len(lower) == n else _ascii_lower(page)
+            end = lower.find(f"</{tag}", at)
+            close = page.find(">", end) if end >= 0 else -1
+            if close >= 0:
+                at = close + 1
+            elif tag in RAW:
+                at = n
+            else:
+                unended.add(tag)
+            continue
+        if tag in HIDDEN:
             continue
         if tag in VOID:
             continue

@@ -180,6 +180,29 @@ def test_near_odd_rows(spark):
     assert nj.drop_near_copies(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_near_copies_of_one_id_or_none(spark):
+    """Rows are dropped by id and text: an id with two texts loses only the near copy, and rows without an id are told apart."""
+    r = random.Random(19)
+    a, b, d = text(r, 100), text(r, 100), text(r, 100)
+    rows = [(1, changed(r, a, 1)), (2, a), (2, b), (None, d), (None, d), (None, changed(r, d, 1)), (None, text(r, 60)), (7, None), (7, None), (8, "")]
+    kept = sorted(((x["doc_id"], x["text"]) for x in nj.drop_near_copies(frame(spark, rows)).collect()), key=str)
+    lone = sorted({x for x in rows if x[0] is None and x[1] not in (d,)}, key=str)
+    assert [x for x in kept if x[0] == 1] == [rows[0]] and [x for x in kept if x[0] == 2] == [(2, b)] and [x for x in kept if x[0] in (7, 8)] == [(7, None)]
+    assert sum(x[0] is None for x in kept) == 2 and rows[6] in kept and len(lone) == 2
+
+
+def test_null_ids_do_not_multiply(spark, monkeypatch):
+    r = random.Random(20)
+    base = text(r, 40)
+    rows = [(None, base if i % 2 else changed(r, base, 1)) for i in range(400)]
+    met = []
+    real = nj.c.by_size
+    monkeypatch.setattr(nj.c, "by_size", lambda df, *a: met.append(df.count()) or real(df, *a))
+    out = nj.ngram_join(frame(spark, rows))
+    assert out.count() == len(rows) and out.agg(F.sum("class_size")).first()[0] >= 200 * 200
+    assert met[0] <= 201
+
+
 def test_pruning_spares_links():
     """The first number of equal hashes that goes on is one that a pair at the threshold almost never falls short of."""
     r = np.random.default_rng(1)
@@ -201,7 +224,6 @@ def test_line_dedup(spark):
             if y:
                 seen[y].append((i is None, i or 0, k, i, x))
     names = list(seen)
-    sims = ld.simhash(names, ld.Bits())
     up = list(range(len(names)))
 
     def root(x):
@@ -210,7 +232,8 @@ def test_line_dedup(spark):
         return x
 
     for a, b in combinations(range(len(names)), 2):
-        if int(sims[a] ^ sims[b]).__and__((1 << 64) - 1).bit_count() <= ld.DISTANCE and ld.alike(names[a], names[b]):
+        most = max(len(names[a]), len(names[b])) // 5
+        if ld.edit_distance(names[a], names[b], most) <= most:
             x, y = root(a), root(b)
             up[max(x, y)] = min(x, y)
     groups = defaultdict(list)
@@ -234,14 +257,25 @@ def test_line_dedup(spark):
 
 
 def test_line_tiles_change_nothing(spark, monkeypatch):
+    """With crowds of a few lines blocks are dealt into tiles, whose leaders meet again."""
     r = random.Random(2)
     long = text(r, 120)
-    rows = [(i, changed(r, long, 1)) for i in range(40)] + [(100 + i, text(r, 20)) for i in range(20)]
+    rows = [(i, changed(r, long, 1)) for i in range(300)] + [(1000 + i, text(r, 20)) for i in range(20)]
     a = sorted(map(str, ld.line_dedup(frame(spark, rows)).select("doc_id", "dropped").collect()))
-    monkeypatch.setattr(ld, "TILE", 4)
+    monkeypatch.setattr(ld, "CROWD", 40)
+    monkeypatch.setattr(ld, "SAMPLE", 2)
+    monkeypatch.setattr(ld, "TILE", 7)
     assert sorted(map(str, ld.line_dedup(frame(spark, rows)).select("doc_id", "dropped").collect())) == a
 
 
+def test_long_lines_and_many_lines(spark):
+    """Time grows with the lines of a text, not with their square."""
+    rows = [(1, "\n".join(["same words in every line"] * 60_000)), (2, " ".join(f"w{i}" for i in range(60_000))), (3, "x" * 200_000), (4, "y\n" * 5000)]
+    got = {x["doc_id"]: x for x in ld.line_dedup(frame(spark, rows)).collect()}
+    assert [got[i]["n_dropped"] for i in (1, 2, 3, 4)] == [59_999, 0, 0, 4999]
+    assert got[1]["clean"] == "same words in every line" and got[4]["clean"] == "y\n"
+
+
 def test_edit_distance():
     def slow(a, b):
         row = list(range(len(b) + 1))
@@ -258,19 +292,6 @@ def test_edit_distance():
         assert min(ld.edit_distance(a, b, most), most + 1) == min(slow(a, b), most + 1)
 
 
-def test_buckets_find_all_close_hashes(spark):
-    r = random.Random(6)
-    pairs = []
-    for _ in range(200):
-        a = r.getrandbits(64)
-        b = a
-        for bit in r.sample(range(64), ld.DISTANCE):
-            b ^= 1 << bit
-        pairs.append((a - (1 << 63), b - (1 << 63)))
-    df = spark.createDataFrame(pairs, "a long, b long")
-    assert df.where(~F.arrays_overlap(ld.bucket_keys(F.col("a")), ld.bucket_keys(F.col("b")))).count() == 0
-
-
 def test_alike_lines_are_found_by_edit_similarity_alone(spark):
     r = random.Random(13)
     words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(2, 10))) for _ in range(3000)]
@@ -288,10 +309,47 @@ def test_alike_lines_are_found_by_edit_similarity_alone(spark):
     assert len(lost) >= 0.98 * len(pairs)
 
 
-def test_minhash_takes_words_and_lines_of_any_length(monkeypatch):
+def test_recall_on_documents():
+    """Of the pairs of lines that are alike by edit similarity, found without any hash, blocks bring nine in ten together."""
+    import pyarrow.parquet as pq
+
+    names = sorted({y for x in pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist() for y in ld.normalised(x or "") if y}, key=len)
+    r = random.Random(21)
+    for x in r.sample(names, 300):
+        w = x.split(" ")
+        for k in r.sample(range(len(w)), max(1, len(w) // r.choice((8, 12, 20, 40))) if len(w) > 4 else 1):
+            w[k] = r.choice((w[k][::-1], r.choice(WORDS), w[k] + "s", ""))
+        names.append(" ".join(y for y in w if y) or "x")
+    names = sorted(set(names), key=len)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüßéèñ 0123456789"
+    count = np.array([[x.count(y) for y in letters] for x in names])
+    size = np.array([len(x) for x in names])
+    alike = set()
+    for i in range(len(names)):
+        js = i + 1 + np.flatnonzero((size[i + 1 :] * 4 <= size[i] * 5) & (np.abs(count[i + 1 :] - count[i]).sum(1) <= 0.4 * size[i + 1 :]))
+        for j in js.tolist():
+            most = len(names[j]) // 5
+            if ld.edit_distance(names[i], names[j], most) <= most:
+                alike.add((i, j))
+    words = [x.split(" ") for x in names]
+    sim, h = ld.simhash(words, ld.Bits())
+    keys = defaultdict(set)
+    for a, b in zip(*(x.tolist() for x in ld.block_keys(words, h)), strict=True):
+        keys[a].add(b)
+    met = {(i, j) for i, j in alike if keys[i] & keys[j] and (int(sim[i]) ^ int(sim[j])).__and__((1 << 64) - 1).bit_count() <= ld.LOOSE}
+    assert len(alike) > 250 and len(met) >= 0.95 * len(alike)
+
+
+def test_hashes_take_lines_of_any_length(monkeypatch):
     r = random.Random(5)
-    lines = [text(r, k) for k in (1, 3, 200, 40, 40, 40)] + ["é" * 30_000, "a"]
-    one = [ld.minhash([x], ld.Mins()) for x in lines]
-    monkeypatch.setattr(ld, "MIN_MEMO", 50)
-    bands, bits = ld.minhash(lines, ld.Mins())
-    assert (bands == np.concatenate([x[0] for x in one])).all() and (bits == np.concatenate([x[1] for x in one])).all()
+    lines = [text(r, k).split(" ") for k in (1, 3, 700, 40, 40, 40)] + [["é" * 30_000], ["a"]]
+    one = [ld.simhash([x], ld.Bits()) for x in lines]
+    for x, (sim, _) in zip(lines, one, strict=True):
+        own = [y for y in x if len(y) > ld.SMALL] or x
+        bits = np.array([[h >> k & 1 for k in range(63, -1, -1)] for h in map(ld.xxhash.xxh3_64_intdigest, own)]).sum(0) * 2 > len(own)
+        assert int("".join(map(str, bits.astype(int))), 2) == int(sim[0]) & ((1 << 64) - 1)
+    monkeypatch.setattr(ld, "MEMO", 800)
+    sim, h = ld.simhash(lines, ld.Bits())
+    assert (sim == np.concatenate([x[0] for x in one])).all() and (h == np.concatenate([x[1] for x in one])).all()
+    line, keys = ld.block_keys(lines, h)
+    assert all(set(keys[line == i].tolist()) == set(ld.block_keys([x], o[1])[1].tolist()) for i, (x, o) in enumerate(zip(lines, one, strict=True)))

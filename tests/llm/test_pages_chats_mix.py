@@ -205,3 +205,25 @@ def test_mix_of_overlapping_sources(spark):
     assert set(sent) == {("a", "b"), ("a",), ("b",), (None,)}
     total = sm.draw(df, sources=F.col("own")).agg(F.sum(sm.words(F.col("text")))).first()[0]
     assert abs(total - min(sum(want.values()), 2 * 1301)) <= 40
+
+
+def test_long_broken_pages_take_linear_time():
+    import time
+
+    for piece in ("<a b='", "<p class=\"", "<", "<x y=\"'", "<b>", "<div", "<!-- "):
+        began = time.thread_time()
+        hb.blocks(piece * (1_000_000 // len(piece)))
+        hb.blocks("<p>a</p>" + piece * (1_000_000 // len(piece)) + ">")
+        assert time.thread_time() - began < 60
+
+
+def test_content_that_is_no_raw_text_stays():
+    texts = [b.text for b in hb.blocks("<article><p>one <math><mi>x</mi></math> two</p><object><p>three</p></object><video><p>four</p><svg><text>five</text></svg><p>six <svg> seven</p></article>")]
+    assert texts == ["one x two", "three", "four", "six seven"]
+
+
+def test_chats_of_many_turns(spark):
+    """Places in the result are counted once: a conversation of twice the turns takes some twice the time."""
+    rows = spark.range(60_000).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 3 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("é<|x|> turn "), F.col("id").cast("string")).alias("text"))
+    out = cf.read_back(cf.format_chats(rows)).select(F.size("turns").alias("n"), F.array_join("loss", "|").alias("loss")).first()
+    assert out["n"] == 60_000 and out["loss"] == "|".join(f"é<|x|> turn {i}" for i in range(60_000) if i % 3)

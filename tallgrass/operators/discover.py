@@ -32,6 +32,6 @@ def top_phrases(docs: DataFrame, doc: str = "doc_id", text: str = "text", top: i
 def draft_schema(docs: DataFrame, vertical: str, doc: str = "doc_id", text: str = "text") -> Schema:
     """A schema to start from, with the first NAMES phrases as services. At most TOP rows reach the driver."""
     rows = top_phrases(docs, doc, text).orderBy(F.desc("n"), "first").limit(NAMES).select("phrase", t.canonical_form(F.col("phrase")).alias("name")).collect()
-    fields = [Field("product_name", "string", "Marketing product name"), Field("product_tier", "string", "Primary plan tier or variant")]
+    fields = [Field("product_name", "string", "Name under which the product is sold"), Field("product_tier", "string", "Level of the product within its range")]
     section = Section(fields=fields, canonical_services=[r["name"] for r in rows], aliases={r["name"]: [r["phrase"]] for r in rows})
     return Schema(vertical=vertical, version="0.1-draft", coverage=section)

@@ -22,7 +22,7 @@ TIERS = (
     ("Gold", r"\bgold\b"), ("Silver", r"\bsilver\b"), ("Bronze", r"\bbronze\b"), ("Basic", r"\bbasic\b"),
 )
 NAME_LINES, TIER_LINES, SIGNAL_LINES, HEADLINES, CURRENCIES = 18, 40, 60, 12, 20
-NOTHING = "No private health sections were confidently extracted from the document."
+NOTHING = "the document shows neither hospital nor extras cover"
 VERTICALS = ("private_health", "private_health_insurance")
 
 

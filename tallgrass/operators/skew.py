@@ -23,15 +23,15 @@ def attach(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str, tota
     facts[weight] is the number of rows with that key and total the number of all
     rows (by default the sum of the weights). Keys with more than total / hot rows
     (fewer than `hot` of them) are broadcast. What they match leaves the shuffled
-    join's key: it is dealt evenly. Keys compare null-safely. Columns of facts
-    other than keys are added.
+    join's key: it is dealt evenly, equal rows by the partitions they come from.
+    Keys compare null-safely. Columns of facts other than keys are added.
     """
     values = [c for c in facts.columns if c not in keys]
     is_hot = F.col(weight) * hot > (facts.agg(F.sum(weight)).scalar() if total is None else F.lit(total))
     heavy, light = facts.where(is_hot), facts.where(~is_hot)
     h = heavy.select(*(F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)), F.struct(*values).alias("_heavy"))
     out = rows.join(F.broadcast(h), same([F.col(k) for k in keys], [F.col(f"_h{i}") for i in range(len(keys))]), "left").drop(*(f"_h{i}" for i in range(len(keys))))
-    spread = F.when(F.col("_heavy").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(*rows.columns), F.lit(1_000_003)) + 1)
+    spread = F.when(F.col("_heavy").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.lit(1_000_003)) + 1)
     out = out.withColumn("_deal", spread.cast("int"))
     k = light.select(*(F.col(x).alias(f"_l{i}") for i, x in enumerate(keys)), F.lit(0).alias("_l_deal"), F.struct(*values).alias("_light"))
     out = out.join(k, same([F.col(x) for x in keys], [F.col(f"_l{i}") for i in range(len(keys))]) & (F.col("_deal") == F.col("_l_deal")), "left")

@@ -414,7 +414,7 @@ def flatten_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _COMPARED = """
-    a AS (SELECT doc_id, unnest(['quality', 'toxic', 'long']) AS key, unnest([(n_chars > 1000)::INT::DOUBLE, 0.0, 1.0]) AS v FROM documents WHERE n_chars > 400),
+    a AS (SELECT doc_id, unnest(['quality', 'toxic', 'long']) AS key, unnest([(n_chars > 1000)::INT::DOUBLE, 0.0, 1.0]) AS v FROM documents),
     b AS (SELECT doc_id, unnest(['quality', 'toxic', 'size']) AS key, unnest([quality::DOUBLE, toxic + 0.000001, 2.0]) AS v FROM labels),
     c AS (SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, coalesce(a.key, b.key) AS key, a.v IS NOT NULL AS has, b.v IS NOT NULL AS wants,
                  coalesce(abs(a.v - b.v) <= greatest(1e-5 * greatest(abs(a.v), abs(b.v)), 1e-5), false) AS agrees
@@ -432,7 +432,7 @@ def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = F.array(*(F.struct(F.lit(k).alias("key"), F.lit(v).cast("double").cast("string").alias("value"), F.lit("number").alias("kind")) if not hasattr(v, "cast") else F.struct(F.lit(k).alias("key"), v.cast("double").cast("string").alias("value"), F.lit("number").alias("kind")) for k, v in values.items()))
         return df.select("doc_id", F.explode(rows).alias("f")).select("doc_id", "f.*")
 
-    got = long(table(spark, sf_dir, "documents").where("n_chars > 400"), quality=(F.col("n_chars") > 1000).cast("int"), toxic=0.0, long=1.0)
+    got = long(table(spark, sf_dir, "documents"), quality=(F.col("n_chars") > 1000).cast("int"), toxic=0.0, long=1.0)
     wanted = long(table(spark, sf_dir, "labels"), quality=F.col("quality"), toxic=F.col("toxic") + 0.000001, size=2.0)
     return ev.reports(ev.compare(got, wanted, "doc_id"), "doc_id")
 

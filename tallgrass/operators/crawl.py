@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import operator
+import re
 from collections.abc import Iterator
+from functools import reduce
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -72,16 +75,32 @@ def joined_url(base: pa.Array, href: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-def links(pages: DataFrame, url: str = "url", html: str = "html", vertical: str = "", fund: Column | None = None, hints: dict[str, str] | None = None, suffix: str | None = None, plain: bool = True) -> DataFrame:
+#: A selector of anchors, by their address or a part of it.
+SELECTOR = re.compile(r"""a(?:\[href(?:([$^*]?)=(['"]?)([^'"\]]+)\2)?\])?""")
+
+
+def selected(selector: str, href: Column) -> Column:
+    """Whether an address meets one of the selectors between commas: a, a[href], or a[href] with =, $=, ^= or *=. Others raise."""
+    tests = {"": operator.eq, "$": F.endswith, "^": F.startswith, "*": F.contains}
+
+    def one(text: str) -> Column:
+        if not (m := SELECTOR.fullmatch(text.strip())):
+            raise ValueError(f"links cannot be chosen by {text.strip()!r}")
+        return F.lit(True) if m[3] is None else tests[m[1]](href, F.lit(m[3]))
+
+    return reduce(operator.or_, map(one, selector.split(",")))
+
+
+def links(pages: DataFrame, url: str = "url", html: str = "html", vertical: str = "", fund: Column | None = None, hints: dict[str, str] | None = None, selector: str | None = None, plain: bool = True) -> DataFrame:
     """(url, vertical, fund_code, product_type, source_page, anchor_text, seq): links of pages, duplicates kept.
 
-    suffix keeps addresses that end so. plain reads pages without Python; it is
+    selector keeps anchors that meet it (see `selected`). plain reads pages without Python; it is
     right for anchors whose addresses stand in double quotes.
     """
     found = anchors(F.col(html)) if plain else parsed_anchors(F.col(html))
     rows = pages.select(F.col(url).alias("source_page"), (F.lit(None).cast("string") if fund is None else fund).alias("fund_code"), F.posexplode(found).alias("seq", "a")).where("a.href <> ''")
-    if suffix:
-        rows = rows.where(F.endswith(F.col("a.href"), F.lit(suffix)))
+    if selector:
+        rows = rows.where(selected(selector, F.col("a.href")))
     whole = t.absolute_url(F.col("source_page"), F.col("a.href")) if plain else joined_url(F.col("source_page"), F.col("a.href"))
     return rows.select(whole.alias("url"), F.lit(vertical).alias("vertical"), "fund_code", t.link_type(F.col("a.text"), hints).alias("product_type"), "source_page", F.col("a.text").alias("anchor_text"), "seq")
 
@@ -108,11 +127,13 @@ def dedup_content(fetched: DataFrame, manifest: DataFrame | None = None, content
     named = fetched.withColumn("content_hash", F.sha2(F.col(content), 256))
     named = named.withColumn("_path", local_path(base, F.col("fund_code"), F.col("product_type"), F.col("url"), F.col("content_hash")))
     first = named.where("content_hash is not null").groupBy("content_hash").agg(F.min(F.struct(order, "url", "_path")).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+    # what the manifest knows is a fact of a hash, so contents themselves are joined once
+    if manifest is None:
+        first = first.withColumn("_known", F.lit(None).cast("string"))
+    else:
+        first = first.join(manifest.groupBy(F.col("hash").alias("content_hash")).agg(F.max_by("local_path", "seq").alias("_known")), "content_hash", "left")
     out = attach(named, first, ["content_hash"], "_copies").drop("_copies")
-    known = F.lit(None).cast("string")
-    if manifest is not None:
-        out = out.join(manifest.groupBy(F.col("hash").alias("content_hash")).agg(F.max_by("local_path", "seq").alias("_known")), "content_hash", "left")
-        known = F.col("_known")
+    known = F.col("_known")
     is_first = (F.col("_first")[order] == F.col(order)) & (F.col("_first.url") == F.col("url"))
     status = F.when(F.col("content_hash").isNull(), "failed").when(known.isNotNull() | ~is_first, "duplicate").otherwise("success")
     return out.withColumn("status", status).withColumn("local_path", F.when(F.col("content_hash").isNotNull(), F.coalesce(known, F.col("_first._path")))).drop("_path", "_first", "_known")

@@ -67,15 +67,17 @@ def crawl(config: CrawlConfig, pages: DataFrame, contents: DataFrame, manifest:
     """Links of the sources' pages (url, html), joined with fetched contents (url, content), as download results.
 
     All links are found before any is looked up. A link whose content is missing
-    has failed with an error of its own.
+    has failed with an error of its own. If pages tell the strategy by which they
+    were fetched (a column `strategy`), a source reads those of its own strategy.
     """
     found = None
     for n, s in enumerate(config.sources):
         own = pages.where(F.col("url") == s.entry_url)
+        if "strategy" in pages.columns:
+            own = own.where(F.col("strategy") == config.strategy(s))
         if config.respect_robots_txt and robots is not None:
             own = cr.allowed(own, robots, "url")
-        suffix = s.pdf_selector.partition("$='")[2].rstrip("']") or None
-        rows = cr.links(own, vertical=config.vertical, fund=F.lit(s.fund_code), hints=s.product_type_hints, suffix=suffix, plain=False)
+        rows = cr.links(own, vertical=config.vertical, fund=F.lit(s.fund_code), hints=s.product_type_hints, selector=s.pdf_selector, plain=False)
         rows = rows.withColumn("seq", F.lit(n).cast("long") * (1 << 32) + F.col("seq"))
         found = rows if found is None else found.unionByName(rows)
     if found is None:
@@ -109,6 +111,17 @@ def extract(docs: DataFrame, schema: Schema, path: str = "path", text: str = "fu
     return ex.extracted(docs, schema, path, text, provider)
 
 
+def shown(docs: DataFrame, schema: Schema, path: str = "path", text: str = "full_text") -> dict[str, DataFrame]:
+    """What a result shows beside its data, as options of sinks.results: evidences and, of extras, normalized names."""
+    if not ex.uses_rules(schema) or not (schema.hospital or schema.extras):
+        return {}
+    out = {"evidences": ex.evidence_map(ex.evidence_rows(docs, schema, path, text), path)}
+    if schema.extras is not None:
+        covers = ex.extras_cover(docs, schema.extras.alias_table(), path, text)
+        out["names"] = ma.normalised_services(covers, schema.extras.canonical_names, path)
+    return out
+
+
 @dataclass
 class Batch:
     extracted: DataFrame
@@ -205,7 +218,7 @@ def main(argv: list[str] | None = None) -> int:
     if check_schema(schema):
         return 1
     made = batch(docs, schema, readers.read_truth(spark, a.truth) if a.truth else None)
-    sinks.write_results(sinks.results(made.extracted, schema.vertical, schema.version), f"{a.output}/extractions")
+    sinks.write_results(sinks.results(made.extracted, schema.vertical, schema.version, **shown(docs, schema)), f"{a.output}/extractions")
     if a.command == "batch" and made.reports is not None:
         sinks.write_report(made.reports, f"{a.output}/evaluation")
     return 0

@@ -113,9 +113,10 @@ def with_route(docs: DataFrame) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The manifest's records with seq, their order; a missing file is an empty manifest, blank lines are skipped."""
+    """The manifest's records with seq, their order by time of writing, file and line; a missing file is an empty manifest, blank lines are skipped."""
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
-        return spark.createDataFrame([], f"{MANIFEST}, seq long")
-    return spark.read.schema(MANIFEST).json(path).where("hash is not null").withColumn("seq", F.monotonically_increasing_id())
+        return spark.createDataFrame([], f"{MANIFEST}, seq struct<downloaded_at:string,file:string,line:long>")
+    order = F.struct("downloaded_at", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
+    return spark.read.schema(MANIFEST).json(path).withColumn("seq", order).where("hash is not null")

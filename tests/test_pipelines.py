@@ -9,6 +9,7 @@ import yaml
 from pyspark.sql import functions as F
 
 from tallgrass.operators import crawl as cr
+from tallgrass.operators import evaluate as ev
 from tallgrass.operators import extract as ex
 from tallgrass.operators import match as ma
 from tallgrass.plans import pipelines as pl
@@ -148,6 +149,33 @@ def test_crawl(spark, tmp_path):
     assert cr.status_counts(again).first().asDict() == {"success": 0, "duplicate": 3, "failed": 1}
     robots = spark.createDataFrame([("http://h/a/", False)], "url string, allowed boolean")
     assert pl.crawl(config, pages, contents, None, robots).count() == 0
+    rendered = pages.withColumn("strategy", F.lit("static"))
+    assert pl.crawl(config, rendered, contents).count() == 0
+    rendered = rendered.withColumn("strategy", F.lit("dynamic"))
+    assert pl.crawl(config, rendered, contents).count() == 4
+    config.sources[0].pdf_selector = "div.files > a"
+    with pytest.raises(ValueError, match="div.files"):
+        pl.crawl(config, pages, contents)
+
+
+def test_selected(spark):
+    rows = spark.createDataFrame([("/f/a.pdf",), ("/g/a.html",), ("x",)], "h string")
+    chosen = lambda s: [r["h"] for r in rows.where(cr.selected(s, F.col("h"))).collect()]
+    assert chosen("a") == chosen("a[href]") == ["/f/a.pdf", "/g/a.html", "x"]
+    assert chosen("a[href$='.pdf']") == ["/f/a.pdf"] and chosen('a[href^="/g"], a[href=x]') == ["/g/a.html", "x"]
+    assert chosen("a[href*='/a.']") == ["/f/a.pdf", "/g/a.html"]
+
+
+def test_last_manifest_record_wins(spark, tmp_path):
+    for name, when, path in (("1.json", "2024-02-01", "new"), ("2.json", "2024-01-01", "old")):
+        (tmp_path / name).write_text(json.dumps({"hash": "h", "downloaded_at": when, "local_path": path}) + "\n\n")
+    rows = readers.read_manifest(spark, str(tmp_path))
+    assert rows.groupBy("hash").agg(F.max_by("local_path", "seq").alias("p")).first()["p"] == "new"
+
+
+def test_leaves_of_mixed_lists():
+    data = {"n": [{"name": "a", "v": [2, 1], "o": {"k": 1}}, 3, {"v": 5}], "l": [" x  y ", None, ["b", "a"]], "d": {"e": {"f": None, "g": True}}}
+    assert dict(ev.leaves(data)) == {"n.a.v": ["1", "2"], "n.a.o": {"k": 1}, "l": ["x y", ["a", "b"]], "d.e.g": True}
 
 
 def test_batch(spark, tmp_path):

@@ -198,9 +198,7 @@ def test_batch(spark, tmp_path):
     where = sinks.write_report(made.reports, str(tmp_path / "out"))
     assert json.loads(where[0].read_text())["reports"][0]["product_key"] == "7792534363"
     assert "## in/PDFs/F1/hospital/a.pdf" in where[1].read_text() and "- field_precision: 0." in where[1].read_text()
-    seen = ex.evidence_map(ex.evidence_rows(docs(spark, a=TEXT), s, "path", "full_text"), "path")
-    names = ma.normalised_services(ex.extras_cover(docs(spark, a=TEXT), s.extras.alias_table(), "path", "full_text"), s.extras.canonical_names, "path")
-    sinks.write_results(sinks.results(made.extracted, s.vertical, s.version, evidences=seen, names=names), str(tmp_path / "results"))
+    sinks.write_results(sinks.results(made.extracted, s.vertical, s.version, **pl.shown(docs(spark, a=TEXT), s)), str(tmp_path / "results"))
     written = {r["output_path"]: json.loads(r["json"]) for r in spark.read.json(str(tmp_path / "results")).collect()}
     a = written["outputs/private_health/extractions/PDFs/F1/hospital/a.json"]
     assert len(written) == 2 and a["schema_version"] == "2.0" and a["data"]["hospital"]["hospital_tier"] == "Gold"

@@ -331,25 +331,55 @@ def test_recall_on_documents():
             most = len(names[j]) // 5
             if ld.edit_distance(names[i], names[j], most) <= most:
                 alike.add((i, j))
-    words = [x.split(" ") for x in names]
-    sim, h = ld.simhash(words, ld.Bits())
+    line, h, long = ld.hashed(ld.folded("\n".join(names)))
+    sim = ld.simhash(line, h, long)
     keys = defaultdict(set)
-    for a, b in zip(*(x.tolist() for x in ld.block_keys(words, h)), strict=True):
+    for a, b in zip(*(x.tolist() for x in ld.block_keys(names, line, h)), strict=True):
         keys[a].add(b)
     met = {(i, j) for i, j in alike if keys[i] & keys[j] and (int(sim[i]) ^ int(sim[j])).__and__((1 << 64) - 1).bit_count() <= ld.LOOSE}
     assert len(alike) > 250 and len(met) >= 0.95 * len(alike)
 
 
+def word_hash(x):
+    h, low = sum(ord(y) * pow(ld.ODD, i, 1 << 64) for i, y in enumerate(x)), (1 << 64) - 1
+    for more in (0, 1):
+        h = h + more & low
+        h = (h ^ h >> 32) * 0xD6E8FEB86659FD93 & low
+        h ^= h >> 32
+    return h
+
+
 def test_hashes_take_lines_of_any_length(monkeypatch):
     r = random.Random(5)
     lines = [text(r, k).split(" ") for k in (1, 3, 700, 40, 40, 40)] + [["é" * 30_000], ["a"]]
-    one = [ld.simhash([x], ld.Bits()) for x in lines]
-    for x, (sim, _) in zip(lines, one, strict=True):
+
+    def hashes(some):
+        line, h, long = ld.hashed(ld.folded("\n".join(map(" ".join, some))))
+        return line, h, ld.simhash(line, h, long)
+
+    one = [hashes([x]) for x in lines]
+    for x, (_, h, sim) in zip(lines, one, strict=True):
+        assert h.tolist() == list(map(word_hash, x))
         own = [y for y in x if len(y) > ld.SMALL] or x
-        bits = np.array([[h >> k & 1 for k in range(63, -1, -1)] for h in map(ld.xxhash.xxh3_64_intdigest, own)]).sum(0) * 2 > len(own)
+        bits = np.array([[y >> k & 1 for k in range(63, -1, -1)] for y in map(word_hash, own)]).sum(0) * 2 > len(own)
         assert int("".join(map(str, bits.astype(int))), 2) == int(sim[0]) & ((1 << 64) - 1)
-    monkeypatch.setattr(ld, "MEMO", 800)
-    sim, h = ld.simhash(lines, ld.Bits())
-    assert (sim == np.concatenate([x[0] for x in one])).all() and (h == np.concatenate([x[1] for x in one])).all()
-    line, keys = ld.block_keys(lines, h)
-    assert all(set(keys[line == i].tolist()) == set(ld.block_keys([x], o[1])[1].tolist()) for i, (x, o) in enumerate(zip(lines, one, strict=True)))
+    monkeypatch.setattr(ld, "SLICE", 800)
+    ld._powers.cache_clear()
+    line, h, sim = hashes(lines)
+    ld._powers.cache_clear()
+    assert (sim == np.concatenate([x[2] for x in one])).all() and (h == np.concatenate([x[1] for x in one])).all()
+    names = list(map(" ".join, lines))
+    at, keys = ld.block_keys(names, line, h)
+    assert all(set(keys[at == i].tolist()) == set(ld.block_keys([x], o[0], o[1])[1].tolist()) for i, (x, o) in enumerate(zip(names, one, strict=True)))
+
+
+def test_lines_are_normalised_as_a_plain_loop_would(spark):
+    def plain(x):
+        return [" ".join("".join(y if y.isalnum() else " " for y in z).split()) for z in x.lower().split("\n")]
+
+    r = random.Random(8)
+    texts = ["", "\n", " \n ", "a \n b  c", "ΑΣ", "ΣΑ Σ", "x y_z\r\nİ", "\n\na\tb", "é" * 300_000 + " q"] + ["".join(r.choices("aB9 \n.Σ-ü", k=r.randrange(60))) for _ in range(500)]
+    assert all(ld.normalised(x) == plain(x) for x in texts)
+    rows = ld.pa.RecordBatch.from_pydict({"id": [*range(len(texts))], "doc": [*range(len(texts))], "text": texts})
+    got = [(x["id"], x["line"], x["size"]) for y in ld.described(iter([rows])) for x in y.to_pylist()]
+    assert got == [(i, k, len(y)) for i, x in enumerate(texts) for k, y in enumerate(plain(x)) if y]

@@ -292,6 +292,24 @@ def test_edit_distance():
         assert min(ld.edit_distance(a, b, most), most + 1) == min(slow(a, b), most + 1)
 
 
+def test_bound_of_edit_distance():
+    r = random.Random(3)
+    exact = 0
+    for _ in range(2000):
+        x = r.choices(["a", "bb", "ccc", "dddd", "bc", "ca", "eeeee", "f"], k=r.randint(1, 20))
+        y = list(x)
+        for _ in range(r.randrange(4)):
+            k = r.randrange(len(y) + 1)
+            y[k : k + r.randrange(3)] = r.choices(["a", "zz", "ccc"], k=r.randrange(3))
+        if y:
+            most = r.randrange(60)
+            own = ld.edit_distance(" ".join(x), " ".join(y), 999)
+            assert (got := ld.bound(x, y, most)) >= own or got > most
+            exact += got == own
+    assert exact > 500
+    assert ld.bound(["a"] * 5, ["a"] * 3, 9) == 4 and ld.bound(["b", "a", "c"], ["a", "c"], 9) == 2
+
+
 def test_alike_lines_are_found_by_edit_similarity_alone(spark):
     r = random.Random(13)
     words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(2, 10))) for _ in range(3000)]

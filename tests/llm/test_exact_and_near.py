@@ -310,6 +310,21 @@ def test_bound_of_edit_distance():
     assert ld.bound(["a"] * 5, ["a"] * 3, 9) == 4 and ld.bound(["b", "a", "c"], ["a", "c"], 9) == 2
 
 
+def test_alike_is_the_edit_distance():
+    r = random.Random(4)
+    found = [0, 0]
+    for _ in range(1500):
+        a = text(r, r.randint(1, 30))
+        b = "".join(y for x in a if r.random() > 0.08 for y in ((r.choice("abc d"),) if r.random() < r.choice((0.02, 0.15)) else (x,)))
+        b = " ".join(b.split()) if r.random() < 0.8 else text(r, r.randint(1, 30))
+        if b:
+            most = int(max(len(a), len(b)) * (1 - ld.LEAST))
+            want = ld.edit_distance(a, b, most) <= most
+            assert ld.alike(a, b) == want
+            found[want] += 1
+    assert min(found) > 200
+
+
 def test_alike_lines_are_found_by_edit_similarity_alone(spark):
     r = random.Random(13)
     words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(2, 10))) for _ in range(3000)]

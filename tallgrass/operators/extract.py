@@ -74,6 +74,11 @@ def heads(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame
     return rows.select(doc, product_name(F.col("_lines")).alias("product_name"), tier(F.col("_lines")).alias("hospital_tier"), signal.alias("extras_signal"))
 
 
+def by_key(rows: DataFrame) -> DataFrame:
+    """rows as a side of a join that is sorted and merged: a broadcast goes by estimates, and these don't count a text's lines."""
+    return rows.hint("merge")
+
+
 def hospital_cover(docs: DataFrame, aliases: ln.Aliases, doc: str = "doc_id", text: str = "text", tiers: DataFrame | None = None) -> DataFrame:
     """(doc, ord, category, coverage, evidence): every category of each document that tells any status or a tier.
 
@@ -88,36 +93,43 @@ def hospital_cover(docs: DataFrame, aliases: ln.Aliases, doc: str = "doc_id", te
         rank = F.when(F.col("status") == s, F.lit(1 + i)).otherwise(rank)
     hits = inline.unionByName(sections.withColumn("_from", rank))
     evidence = F.transform(F.array_sort(F.collect_list(F.when(F.col("line").isNotNull(), F.struct("_from", "line_no", "line")))), lambda e: e["line"])
-    told = ln.strongest(hits, doc).join(hits.groupBy(doc, "name").agg(evidence.alias("evidence")), [doc, "name"])
+    told = hits.groupBy(doc, "name").agg(ln.strongest_status().alias("coverage"), evidence.alias("evidence"))
+    told = told.groupBy(F.col(doc).alias("_doc")).agg(F.collect_list(F.struct("name", "coverage", "evidence")).alias("_told"))
     names = F.array(*(F.lit(n) for n, _ in aliases)).cast("array<string>")
     tiers = heads(docs, doc, text).select(doc, "hospital_tier") if tiers is None else tiers
-    gate = tiers.where(F.col("hospital_tier").isNotNull()).select(doc).union(told.select(doc)).distinct()
-    out = gate.select(doc, F.posexplode(names).alias("ord", "name")).join(told, [doc, "name"], "left")
-    return out.select(doc, "ord", F.col("name").alias("category"), "coverage", F.coalesce("evidence", F.array().cast("array<string>")).alias("evidence"))
+    tiers = tiers.where(F.col("hospital_tier").isNotNull()).select(F.col(doc).alias("_tiered"), F.lit(True).alias("_tier")).distinct()
+    gate = tiers.join(by_key(told), F.col("_tiered").eqNullSafe(F.col("_doc")), "full_outer")
+    out = gate.select(F.when(F.col("_tier"), F.col("_tiered")).otherwise(F.col("_doc")).alias(doc), "_told", F.posexplode(names).alias("ord", "category"))
+    own = F.get(F.filter("_told", lambda x: x["name"] == F.col("category")), 0)
+    return out.select(doc, "ord", "category", own["coverage"].alias("coverage"), F.coalesce(own["evidence"], F.array().cast("array<string>")).alias("evidence"))
 
 
-def extras_cover(docs: DataFrame, aliases: ln.Aliases, doc: str = "doc_id", text: str = "text", signals: DataFrame | None = None) -> DataFrame:
+def extras_cover(docs: DataFrame, aliases: ln.Aliases, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, ord, service, covered, waiting_period, limit_per_person, limit_per_policy, shared_with, evidence).
 
     Services come in the order of their first lines, then the rest in the schema's
     order. A document counts with two services that have text, or with the word
-    `extra` in its first lines. Pairs under a combined limit share both ways.
+    `extra` in its first lines. Pairs under a combined limit share both ways. Lines
+    are exchanged once by document, and nothing is joined.
     """
-    rows = ln.with_matches(ln.explode_lines(docs, doc, text), aliases)
-    own = ln.blocks(rows, doc)
-    signals = heads(docs, doc, text).select(doc, "extras_signal") if signals is None else signals
-    many = own.groupBy(doc).agg(F.count(F.lit(1)).alias("_n")).where("_n >= 2").select(doc)
-    gate = many.union(signals.where("extras_signal").select(doc)).distinct()
+    rows = ln.with_matches(ln.explode_lines(docs, doc, text), aliases).withColumn("name", ln.current_name(doc))
+    signal = (F.col("line_no") < SIGNAL_LINES) & F.contains(F.lower("line"), F.lit("extra"))
+    named = F.when(F.col("name").isNotNull() & (F.col("line") != ""), F.struct("line_no", "line"))
+    own = rows.groupBy(doc, "name").agg(F.array_sort(F.collect_list(named)).alias("_rows"), F.max(signal).alias("_signal"))
+    own = own.select(doc, "name", "_signal", *ln.block_of("_rows"))
+    texts = F.collect_list(F.when(F.col("first_line").isNotNull(), F.struct("name", "first_line", "evidence", "block")))
+    gate = own.groupBy(doc).agg(texts.alias("_own"), F.max("_signal").alias("_signal")).where((F.size("_own") >= 2) | F.col("_signal"))
     names = F.array(*(F.lit(n) for n, _ in aliases)).cast("array<string>")
-    every = gate.select(doc, F.posexplode(names).alias("_declared", "name")).join(own, [doc, "name"], "left")
+    every = gate.select(doc, "_own", F.posexplode(names).alias("_declared", "service"))
+    every = every.select(doc, "_declared", "service", F.get(F.filter("_own", lambda x: x["name"] == F.col("service")), 0).alias("_o")).select(doc, "_declared", "service", "_o.first_line", "_o.evidence", "_o.block")
     place = Window.partitionBy(doc).orderBy(F.col("first_line").asc_nulls_last(), "_declared")
     person, policy = t.limits(F.coalesce("block", F.lit("")))
-    every = every.withColumn("ord", F.row_number().over(place) - 1)
-    every = every.select(doc, "ord", F.col("name").alias("service"), F.col("block").isNotNull().alias("covered"), t.waiting_period(F.coalesce("block", F.lit(""))).alias("waiting_period"), person.alias("limit_per_person"), policy.alias("limit_per_policy"), "evidence", F.contains(F.lower(F.coalesce("block", F.lit(""))), F.lit("combined limit")).alias("_combined"))
-    pairs = ln.pairs_of_runs(every.where("covered"), doc, ["ord"], F.col("_combined"), "service")
-    shared = ln.both_ways(pairs, doc, "service").groupBy(doc, "service").agg(F.array_sort(F.collect_set("partner")).alias("shared_with"))
-    out = every.drop("_combined").join(shared, [doc, "service"], "left")
-    return out.withColumn("shared_with", F.coalesce("shared_with", F.array().cast("array<string>"))).withColumn("evidence", F.when(F.col("evidence").isNotNull(), F.array("evidence")).otherwise(F.array().cast("array<string>")))
+    every = every.select(doc, "first_line", "_declared", (F.row_number().over(place) - 1).alias("ord"), "service", F.col("block").isNotNull().alias("covered"), t.waiting_period(F.coalesce("block", F.lit(""))).alias("waiting_period"), person.alias("limit_per_person"), policy.alias("limit_per_policy"), F.when(F.col("evidence").isNotNull(), F.array("evidence")).otherwise(F.array().cast("array<string>")).alias("evidence"), F.contains(F.lower(F.coalesce("block", F.lit(""))), F.lit("combined limit")).alias("_combined"))
+    # services without text come last and close nothing
+    every = ln.with_partner(every, place, F.col("_combined"), "service").withColumn("partner", F.when(F.col("covered"), F.col("partner")))
+    ahead = F.when(F.lead("partner").over(place).isNotNull(), F.lead("service").over(place))
+    shared = F.array_sort(F.array_compact(F.array("partner", ahead)))
+    return every.select(doc, "ord", "service", "covered", "waiting_period", "limit_per_person", "limit_per_policy", shared.alias("shared_with"), "evidence")
 
 
 # Payloads
@@ -130,14 +142,14 @@ def payloads(docs: DataFrame, schema: Schema, doc: str = "doc_id", text: str = "
     if schema.hospital is not None:
         rows = hospital_cover(docs, schema.hospital.alias_table(), doc, text, head.select(doc, "hospital_tier"))
         rows = rows.groupBy(doc).agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "category", "coverage"))), lambda x: F.struct(x["category"].alias("category"), x["coverage"].alias("coverage"))).alias("clinical_categories"))
-        out = out.join(rows, doc, "left").withColumn("hospital", F.when(F.col("clinical_categories").isNotNull(), F.struct("product_name", "hospital_tier", "clinical_categories"))).drop("clinical_categories")
+        out = out.join(by_key(rows), doc, "left").withColumn("hospital", F.when(F.col("clinical_categories").isNotNull(), F.struct("product_name", "hospital_tier", "clinical_categories"))).drop("clinical_categories")
     else:
         out = out.withColumn("hospital", F.lit(None).cast("struct<product_name:string,hospital_tier:string,clinical_categories:array<struct<category:string,coverage:string>>>"))
     if schema.extras is not None:
-        rows = extras_cover(docs, schema.extras.alias_table(), doc, text, head.select(doc, "extras_signal"))
+        rows = extras_cover(docs, schema.extras.alias_table(), doc, text)
         cols = ("service", "covered", "waiting_period", "limit_per_person", "limit_per_policy", "shared_with")
         rows = rows.groupBy(doc).agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", *cols))), lambda x: F.struct(*(x[k].alias(k) for k in cols))).alias("services"))
-        out = out.join(rows, doc, "left").withColumn("extras", F.when(F.col("services").isNotNull(), F.struct("product_name", "services"))).drop("services")
+        out = out.join(by_key(rows), doc, "left").withColumn("extras", F.when(F.col("services").isNotNull(), F.struct("product_name", "services"))).drop("services")
     else:
         out = out.withColumn("extras", F.lit(None).cast(T.StructType().add("product_name", "string").add("services", "array<struct<service:string,covered:boolean,waiting_period:string,limit_per_person:double,limit_per_policy:double,shared_with:array<string>>>")))
     warn = F.when(F.col("hospital").isNull() & F.col("extras").isNull(), F.array(F.lit(NOTHING))).otherwise(F.array().cast("array<string>"))
@@ -153,10 +165,10 @@ def evidence_rows(docs: DataFrame, schema: Schema, doc: str = "doc_id", text: st
         declared = getattr(schema, section)
         if declared is None:
             continue
-        cover = hospital_cover(docs, declared.alias_table(), doc, text, head) if section == "hospital" else extras_cover(docs, declared.alias_table(), doc, text, head)
+        cover = hospital_cover(docs, declared.alias_table(), doc, text, head) if section == "hospital" else extras_cover(docs, declared.alias_table(), doc, text)
         lines = cover.select(doc, name, F.posexplode("evidence").alias("pos", "line"))
         out.append(row(lines, F.concat(F.lit(f"{section}.{item}."), name), F.col("pos"), F.col("line")))
-        told = head.join(cover.select(doc).distinct(), doc, "left_semi")
+        told = head.join(by_key(cover.select(doc).distinct()), doc, "left_semi")
         for field in ("product_name", "hospital_tier") if section == "hospital" else ("product_name",):
             out.append(row(told.where(F.col(field).isNotNull()), F.lit(f"{section}.{field}"), F.lit(0), F.col(field)))
     return reduce(DataFrame.unionByName, out)
@@ -239,14 +251,14 @@ def entities(docs: DataFrame, schema: Schema, path: str = "path", text: str = "t
     head = heads(docs, path, text)
     specs = schema.metadata["entities"]
     hospital = hospital_cover(docs, schema.hospital.alias_table(), path, text, head.select(path, "hospital_tier"))
-    extras = extras_cover(docs, schema.extras.alias_table(), path, text, head.select(path, "extras_signal"))
+    extras = extras_cover(docs, schema.extras.alias_table(), path, text)
     tables = {"hospital_cover": hospital_rows(hospital, path), "extras_cover": extras_rows(extras, path), "extras_limit_groups": limit_group_rows(extras, path)}
     out = head
     for name, rows in tables.items():
         spec = specs.get(name, {"fields": {}})
         made = template(spec, {k: F.col(k) for k in rows.columns})
         own = rows.groupBy(path).agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", made.alias("row")))), lambda x: x["row"]).alias(name)) if spec.get("fields") else None
-        out = out.join(own, path, "left") if own is not None else out.withColumn(name, F.array())
+        out = out.join(by_key(own), path, "left") if own is not None else out.withColumn(name, F.array())
     has = lambda n: F.coalesce(F.size(n) > 0, F.lit(False))
     named = F.when(has("hospital_cover") | has("extras_cover"), F.col("product_name"))
     named = F.coalesce(F.nullif(named, F.lit("")), t.stem(F.col(path)))

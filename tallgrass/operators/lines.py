@@ -114,13 +114,17 @@ def inline_hits(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
     return out.select(doc, "status", F.explode("found").alias("name"), "line_no", "line")
 
 
-def strongest(hits: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """(doc, name, coverage): the strongest status of each name that has any."""
+def strongest_status() -> Column:
+    """An aggregate: the strongest status of a group's hits."""
     rank = F.lit(len(PRECEDENCE))
     for i, s in reversed(list(enumerate(PRECEDENCE))):
         rank = F.when(F.col("status") == s, F.lit(i)).otherwise(rank)
-    best = F.get(F.array(*map(F.lit, PRECEDENCE)), F.min(rank).cast("int"))
-    return hits.groupBy(doc, "name").agg(best.alias("coverage"))
+    return F.get(F.array(*map(F.lit, PRECEDENCE)), F.min(rank).cast("int"))
+
+
+def strongest(hits: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """(doc, name, coverage): the strongest status of each name that has any."""
+    return hits.groupBy(doc, "name").agg(strongest_status().alias("coverage"))
 
 
 def blocks(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
@@ -130,11 +134,19 @@ def blocks(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
     name; the lines after it belong to it until the next match; lines before the
     first match, and blank ones, belong to none. lines must have `found`.
     """
-    own = F.last(F.get("found", 0), ignorenulls=True).over(in_order(doc).rowsBetween(Window.unboundedPreceding, 0))
-    held = lines.withColumn("name", own).where(F.col("name").isNotNull() & (F.col("line") != ""))
-    rows = F.array_sort(F.collect_list(F.struct("line_no", "line")))
-    out = held.groupBy(doc, "name").agg(F.min("line_no").alias("first_line"), rows.alias("_rows"))
-    return out.select(doc, "name", "first_line", F.get("_rows", 0)["line"].alias("evidence"), F.array_join(F.transform("_rows", lambda r: r["line"]), " ").alias("block"))
+    held = lines.withColumn("name", current_name(doc)).where(F.col("name").isNotNull() & (F.col("line") != ""))
+    out = held.groupBy(doc, "name").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("_rows"))
+    return out.select(doc, "name", *block_of("_rows"))
+
+
+def current_name(doc: str = "doc_id") -> Column:
+    """The name that a line belongs to: the first match of the nearest line, itself or before it, that has any."""
+    return F.last(F.get("found", 0), ignorenulls=True).over(in_order(doc).rowsBetween(Window.unboundedPreceding, 0))
+
+
+def block_of(rows: str) -> tuple[Column, Column, Column]:
+    """first_line, evidence and block of a column with a name's lines, an array of (line_no, line) in order."""
+    return F.get(rows, 0)["line_no"].alias("first_line"), F.get(rows, 0)["line"].alias("evidence"), F.array_join(F.transform(rows, lambda r: r["line"]), " ").alias("block")
 
 
 def pairs_of_runs(rows: DataFrame, group: str, order: Sequence[str | Column], opens: Column, name: str) -> DataFrame:
@@ -143,12 +155,17 @@ def pairs_of_runs(rows: DataFrame, group: str, order: Sequence[str | Column], op
     In a run of consecutive elements that open, those at odd places open and the
     ones at even places close; the element after a run closes if the run is odd.
     """
-    w = Window.partitionBy(group).orderBy(*order)
+    out = with_partner(rows, Window.partitionBy(group).orderBy(*order), opens, name)
+    return out.where(F.col("partner").isNotNull()).select(group, name, "partner")
+
+
+def with_partner(rows: DataFrame, w: Window, opens: Column, name: str) -> DataFrame:
+    """rows with the partner that each closes, null if it closes none; w is the window in the group's order."""
     flagged = rows.withColumn("_n", F.row_number().over(w)).withColumn("_o", F.coalesce(opens, F.lit(False)))
     quiet = F.max(F.when(~F.col("_o"), F.col("_n"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
     flagged = flagged.withColumn("_place", F.when(F.col("_o"), F.col("_n") - F.coalesce(quiet, F.lit(0))).otherwise(0))
     closed = F.lag("_place", 1, 0).over(w) % 2 == 1
-    return flagged.withColumn("partner", F.when(closed, F.lag(name).over(w))).where(F.col("partner").isNotNull()).select(group, name, "partner")
+    return flagged.withColumn("partner", F.when(closed, F.lag(name).over(w))).drop("_n", "_o", "_place")
 
 
 def both_ways(pairs: DataFrame, group: str, name: str) -> DataFrame:

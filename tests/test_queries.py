@@ -37,3 +37,10 @@ def test_order_of_input_does_not_matter(spark):
     mixed = docs.repartition(5, F.rand(3))
     for f in (lambda d: extract.extras_cover(d, fx.aliases(fx.SERVICES)), lambda d: extract.hospital_cover(d, fx.aliases(fx.CATEGORIES)), lambda d: discover.top_phrases(d).drop("first")):
         assert sorted(map(str, f(docs).collect())) == sorted(map(str, f(mixed).collect()))
+
+
+@pytest.mark.parametrize("name", ["extras_cover"])
+def test_no_broadcast_by_estimate(spark, name):
+    """Tables of services grow with the documents' lines, which estimates don't count: the driver must hold none of them."""
+    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan

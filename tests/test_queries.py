@@ -39,7 +39,7 @@ def test_order_of_input_does_not_matter(spark):
         assert sorted(map(str, f(docs).collect())) == sorted(map(str, f(mixed).collect()))
 
 
-@pytest.mark.parametrize("name", ["extras_cover", "extras_rows_v2", "limit_group_rows_v2", "extract_payloads"])
+@pytest.mark.parametrize("name", ["extras_cover", "extras_rows_v2", "limit_group_rows_v2", "extract_payloads", "payload_keys"])
 def test_no_broadcast_by_estimate(spark, name):
     """Tables of services grow with the documents' lines, which estimates don't count: the driver must hold none of them."""
     plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()

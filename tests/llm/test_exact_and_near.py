@@ -256,6 +256,31 @@ def test_line_dedup(spark):
     assert ld.line_dedup(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_links_of_lines_that_are_no_leaders(spark, monkeypatch):
+    """Lines a, x, y, b of a block: x is left to a and y to b, and only x and y link the two."""
+    sims = {1: 0, 2: (1 << 24) - 1, 3: (1 << 6) - 1, 4: (1 << 18) - 1}
+    lines = spark.createDataFrame([(k, v, 100, [9]) for k, v in sims.items()], "h1 long, sim long, size int, keys array<long>")
+    c.prepare(spark)
+    pairs, later = ld.compared(lines)
+    assert sorted(map(tuple, pairs.collect())) == [(1, 3), (1, 4), (2, 3), (2, 4)]
+    assert sorted(x["node"] for x in later.collect()) == [3, 4]
+
+    r = random.Random(5)
+    word = lambda: "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+    w = [word() for _ in range(30)]
+    four = [" ".join(w)]
+    for k in (0, 5, 10):
+        w[k : k + 5] = [word() for _ in range(5)]
+        four.append(" ".join(w))
+    assert all(ld.alike(p, q) == (j == i + 1) for (i, p), (j, q) in combinations(enumerate(four), 2))
+    place = {x: int(np.frombuffer(ld.xxhash.xxh3_128_digest(x), "<i8")[0]) for x in four}
+    a, x, y, b = (place[k] for k in four)
+    found = (spark.createDataFrame([(a, x), (b, y), (a, y), (b, x)], "a long, b long"), spark.createDataFrame([(9, 0, k, 0, 209) for k in sorted((x, y))], "bucket long, tile int, node long, sim long, size int"))
+    monkeypatch.setattr(ld, "compared", lambda lines: found)
+    got = ld.line_dedup(frame(spark, list(enumerate(four)))).orderBy("doc_id").collect()
+    assert [k["n_dropped"] for k in got] == [0, 1, 1, 1]
+
+
 def test_line_tiles_change_nothing(spark, monkeypatch):
     """With crowds of a few lines blocks are dealt into tiles, whose leaders meet again."""
     r = random.Random(2)

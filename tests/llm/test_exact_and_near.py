@@ -281,6 +281,26 @@ def test_links_of_lines_that_are_no_leaders(spark, monkeypatch):
     assert [k["n_dropped"] for k in got] == [0, 1, 1, 1]
 
 
+def test_lines_put_off_make_no_more_links_than_lines(spark):
+    """Alike lines that meet in three blocks, each a group of its own: links grow with the lines, not with their pairs."""
+    r = random.Random(6)
+    long = text(r, 100)
+    names = sorted({ld.normalised(changed(r, long, 1))[0] for _ in range(60)})
+    other = ld.normalised(text(r, 100))[0]
+    c.prepare(spark)
+    rows = [(i, x, 0) for i, x in enumerate([*names, other])]
+    docs = spark.createDataFrame([(i, i, x) for i, x, _ in rows], "id long, doc long, text string")
+    classes = spark.createDataFrame([(i, 0, 1, (False, i, i, 0), len(x)) for i, x, _ in rows], "h1 long, h2 long, n long, first struct<z:boolean,id:long,doc:long,line:int>, size int")
+    later = spark.createDataFrame([(k, 0, i, 0, 100) for k in (7, 8, 9) for i, _, _ in rows], "bucket long, tile int, node long, sim long, size int")
+    none = spark.createDataFrame([], "node long, root long")
+    links = [tuple(x) for x in ld.between(docs, classes, none, later).collect()]
+    assert len(names) > 40 and len(links) == len(names) - 1
+    assert c.forest(len(rows), *map(np.array, zip(*links, strict=True)))[0].tolist() == [0] * len(names) + [len(names)]
+    # lines of one group are not compared again
+    one = spark.createDataFrame([(i, 0) for i in range(len(names))], "node long, root long")
+    assert ld.between(docs, classes, one, later).count() == 0
+
+
 def test_line_tiles_change_nothing(spark, monkeypatch):
     """With crowds of a few lines blocks are dealt into tiles, whose leaders meet again."""
     r = random.Random(2)

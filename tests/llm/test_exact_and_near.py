@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import sys
 from collections import defaultdict
 from itertools import combinations
 
@@ -337,6 +338,62 @@ def test_edit_distance():
         assert min(ld.edit_distance(a, b, most), most + 1) == min(slow(a, b), most + 1)
 
 
+def test_many_edit_distances_at_once():
+    """As one by one, of texts of several lengths and alphabets; and unlike ones end early."""
+    r = random.Random(9)
+    for letters in ("ab", "abcdefgh ", [chr(0x4E00 + i) for i in range(600)]):
+        pairs = []
+        for _ in range(400):
+            a = "".join(r.choices(letters, k=r.randint(1, 220)))
+            b = "".join(y for x in a if r.random() > 0.08 for y in ((r.choice(letters),) if r.random() < r.choice((0.02, 0.3)) else (x,))) or "q"
+            pairs.append((a, b[9:] + b[:9] if r.random() < 0.2 else b, r.randrange(70)))
+        want = [ld.edit_distance(a, b, 999) <= most for a, b, most in pairs]
+        assert min(want.count(True), want.count(False)) > 40
+        assert ld.within(*zip(*pairs, strict=True)).tolist() == want == [ld.edit_distance(*x) <= x[2] for x in pairs]
+
+    a, b = ("".join(r.choices("abcdefgh", k=4_000)) for _ in range(2))
+    steps = [0]
+
+    def count(frame, event, arg):
+        steps[0] += event == "line" and frame.f_code is ld.edit_distance.__code__
+        return count
+
+    old = sys.gettrace()
+    sys.settrace(count)
+    try:
+        assert ld.edit_distance(a, b, 800) == 801
+    finally:
+        sys.settrace(old)
+    assert steps[0] < 8 * 4_000
+
+
+def test_groups_that_meet_often_are_measured_once(spark, monkeypatch):
+    """Lines of two groups of unlike lines are told apart by the distance of the groups' first lines; links are of roots."""
+    r = random.Random(14)
+    w = r.choices(WORDS, k=120)
+    far = [*w[:60], *r.choices(WORDS, k=60)]
+    names = [(k, ld.normalised(" ".join(x[:i] + ["q" * 3] + x[i + 1 :]))[0]) for k, x in ((0, w), (100, far)) for i in range(20)]
+    rows = [(9, i, 0, 500, root, [9], x) for i, (root, x) in enumerate(names)]
+    schema = ["place", "node", "sim", "size", "root", "places", "text"]
+    batch = lambda rows: ld.pa.RecordBatch.from_pylist([dict(zip(schema, x, strict=True)) for x in rows])
+    met = []
+    real = ld.plainly
+    monkeypatch.setattr(ld, "plainly", lambda a, b, most: met.append(1) or real(a, b, most))
+    assert not list(ld.settled(iter([batch(rows)]))) and len(met) <= ld.OFTEN
+    # one line between them links the two by their roots
+    between = ld.normalised(" ".join([*far[:90], *w[90:]]))[0]
+    got = [tuple(x.values()) for y in ld.settled(iter([batch([*rows, (9, 40, 0, 500, 200, [9], between)])])) for x in y.to_pylist()]
+    want = {root for root, x in names if ld.alike(x, between)}
+    assert {root for pair in got for root in pair} == (want | {200} if want else set())
+
+
+def test_the_last_join_does_not_depend_on_size(spark):
+    rows = [(1, "same line here"), (2, "same line here")]
+    out = ld.line_dedup(frame(spark, rows))
+    assert "broadcast" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [x["n_dropped"] for x in out.orderBy("doc_id").collect()] == [0, 1]
+
+
 def test_bound_of_edit_distance():
     r = random.Random(3)
     exact = 0

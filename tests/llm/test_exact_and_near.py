@@ -314,6 +314,37 @@ def test_line_tiles_change_nothing(spark, monkeypatch):
     assert sorted(map(str, ld.line_dedup(frame(spark, rows)).select("doc_id", "dropped").collect())) == a
 
 
+def test_lines_of_different_tiles_are_compared(spark, monkeypatch):
+    """Alike lines of a crowded block, of different tiles or of SimHashes that differ in each of their parts."""
+    r = random.Random(21)
+    rows = []
+    while len(rows) < 60:
+        one = text(r, 16)
+        two = [ld.normalised(x)[0] for x in (one, changed(r, one, 2))]
+        batch = ld.pa.RecordBatch.from_pydict({"id": [0, 1], "doc": [0, 1], "text": two})
+        a, b = next(ld.described(iter([batch]))).to_pylist()
+        parts = [(a["sim"] ^ b["sim"]) >> k & 0xFFFF for k in range(0, 64, 16)]
+        if ld.alike(*two) and all(parts) and sum(x.bit_count() for x in parts) <= ld.LOOSE and set(a["keys"]) & set(b["keys"]):
+            rows += [(len(rows) + i, x) for i, x in enumerate(two)]
+    for name, x in {"CROWD": 1, "SAMPLE": 1, "MEET": 1}.items():
+        monkeypatch.setattr(ld, name, x)
+    got = ld.line_dedup(frame(spark, rows)).where("n_dropped > 0").collect()
+    assert sorted(x["doc_id"] for x in got) == list(range(1, 60, 2))
+
+
+def test_lines_that_might_be_alike_are_found_by_meeting():
+    """Of a meeting's lines those stay that have one of another group, on the other side, within LOOSE and of like length."""
+    r = np.random.default_rng(4)
+    base = r.integers(0, 1 << 62, 6)
+    rows = sorted((int(p), i, int(base[i % 6] ^ (1 << int(r.integers(60))) ^ int(r.integers(1 << 62)) * (i % 5 == 0)), int(r.integers(60, 100)), int(r.integers(8)), int(p > 1) * (i % 2)) for i, p in enumerate(r.integers(0, 4, 400)))
+    names = ["place", "node", "sim", "size", "root", "side"]
+    cut = [ld.pa.RecordBatch.from_pylist([dict(zip(names, x, strict=True)) for x in rows[k : k + 70]]) for k in range(0, 400, 70)]
+    got = {x["node"] for y in ld.unsettled(iter(cut)) for x in y.to_pylist()}
+    sided = {x[0] for x in rows if x[5]}
+    ok = lambda x, y: x[0] == y[0] and x[4] != y[4] and (x[0] not in sided or x[5] != y[5]) and (x[2] ^ y[2]).bit_count() <= ld.LOOSE and 5 * min(x[3], y[3]) >= 4 * max(x[3], y[3])
+    assert got == {x[1] for p in combinations(rows, 2) if ok(*p) for x in p} and 0 < len(got) < 400
+
+
 def test_long_lines_and_many_lines(spark):
     """Time grows with the lines of a text, not with their square."""
     rows = [(1, "\n".join(["same words in every line"] * 60_000)), (2, " ".join(f"w{i}" for i in range(60_000))), (3, "x" * 200_000), (4, "y\n" * 5000)]

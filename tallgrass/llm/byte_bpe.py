@@ -1,4 +1,4 @@
-"""Byte-level BPE: a minimal perfect hash resolves whole pre-tokens, a heap over linked bytes the rest."""
+"""Byte-level BPE: a minimal perfect hash resolves whole pre-tokens, a heap over linked bytes, or the least of a short list, the rest."""
 
 from __future__ import annotations
 
@@ -25,6 +25,8 @@ LOAD = 2
 #: Bytes of each of the two generations of a worker's memo, bytes that an entry takes besides its word and ids, the longest
 #: word that it keeps, and the marks by which it knows words that it has met once: a word enters the memo when it is met again.
 MEMO, ENTRY, MEMO_CHARS, MARKS = 24 << 20, 160, 48, 1 << 22
+#: Bytes of a pre-token up to which the least rank is looked for in a list: a heap costs more until there are many.
+SHORT = 48
 
 _LOW = (1 << 64) - 1
 #: A space between two characters that aren't white space: no match of the pattern spans the place before it.
@@ -103,6 +105,8 @@ class Encoder:
         """Ids of a pre-token that is no token: joins the pair of lowest rank, leftmost first, until none is left."""
         ids = list(map(self.byte.__getitem__, piece))
         n, pair = len(ids), self.pair
+        if n <= SHORT:
+            return self.merge_short(ids)
         # an entry is (id of the union, place of the left part) as one number
         heap = [r << 32 | i for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False)) if (r := pair[a].get(b))]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -130,6 +134,23 @@ class Encoder:
                 push(heap, x << 32 | k)
         return array("I", [x for x in ids if x >= 0])
 
+    def merge_short(self, ids: list[int]) -> array:
+        """What merge makes of few bytes."""
+        pair, none = self.pair, len(self.pair)
+        # ranks[i] is that of ids i and i + 1; `none` is above all
+        ranks = [pair[a].get(b, none) for a, b in zip(ids, ids[1:], strict=False)]
+        ranks.append(none)
+        while (r := min(ranks)) < none:
+            i = ranks.index(r)
+            ids[i] = r
+            del ids[i + 1], ranks[i]
+            # the union's rank with what follows is in the place of the second part's; the last one stays `none`
+            if i + 1 < len(ids):
+                ranks[i] = pair[r].get(ids[i + 1], none)
+            if i:
+                ranks[i - 1] = pair[ids[i - 1]].get(r, none)
+        return array("I", ids)
+
     def token(self, piece: bytes) -> bytes:
         """Packed ids of a pre-token."""
         i = self.hash.get(piece)

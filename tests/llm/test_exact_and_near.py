@@ -345,6 +345,36 @@ def test_lines_that_might_be_alike_are_found_by_meeting():
     assert got == {x[1] for p in combinations(rows, 2) if ok(*p) for x in p} and 0 < len(got) < 400
 
 
+def test_packed_blocks_meet_as_rows_do(monkeypatch):
+    """Blocks sent as bytes, in some parts and slices, give the rows that sorted rows of blocks give; hot blocks are left out."""
+    r = np.random.default_rng(8)
+    base = r.integers(-(1 << 62), 1 << 62, 9)
+    lines = [(i, int(base[i % 9]) ^ int(r.integers(1 << 62) & r.integers(1 << 62) & r.integers(1 << 62)), int(r.integers(60, 80)), r.choice(base, 3).tolist()) for i in range(200)]
+    lines += [lines[3], lines[4]]
+    names, hot = ["node", "sim", "size", "keys"], base[:2]
+    schema = ld.pa.schema([("node", ld.pa.int64()), ("sim", ld.pa.int64()), ("size", ld.pa.int32()), ("keys", ld.pa.list_(ld.pa.int64()))])
+    cut = [ld.pa.RecordBatch.from_pylist([dict(zip(names, x, strict=True)) for x in lines[k : k + 30]], schema) for k in range(0, len(lines), 30)]
+    rows = sorted({(b, 0, node, sim, size, 0) for node, sim, size, keys in lines for b in keys if b not in hot})
+    cols = [np.array(x, np.int32 if i in (1, 4, 5) else np.int64) for i, x in enumerate(zip(*rows, strict=True))]
+    want = ld.paired(cols).to_pylist()
+    for pack, parts in ((100, 4), (10_000, 1), (10_000, 70_000)):
+        monkeypatch.setattr(ld, "PACK", pack)
+        sent = sorted((x for y in ld.packed(iter(cut), parts, hot) for x in y.to_pylist()), key=lambda x: x["part"])
+        got = [x for y in ld.near_packed(iter([ld.pa.RecordBatch.from_pylist(sent)])) for x in y.to_pylist()]
+        assert sorted(map(str, got)) == sorted(map(str, want)) and any(x["b"] is None for x in want)
+
+
+def test_lines_are_fetched_as_they_were_normalised():
+    r = random.Random(3)
+    texts = [None, "", *("".join(r.choices("Ab1 .-\n\r\u03a3\u0130\u2028\x0b", k=r.randint(1, 60))) for _ in range(80))]
+    wanted = [[{"node": 100 * i + k, "line": k} for k in range((x or "").count("\n") + 1) if r.random() < 0.5] for i, x in enumerate(texts)]
+    batch = ld.pa.RecordBatch.from_arrays([ld.pa.array(texts), ld.pa.array(wanted, ld.pa.list_(ld.pa.struct([("node", ld.pa.int64()), ("line", ld.pa.int32())])))], ["text", "wanted"])
+    got = [(x["node"], x["text"]) for y in ld.fetched(iter([batch.slice(0, 40), batch.slice(40)])) for x in y.to_pylist()]
+    assert got == [(k["node"], ld.normalised(x or "")[k["line"]]) for x, own in zip(texts, wanted, strict=True) for k in own]
+    one = ld.pa.RecordBatch.from_pydict({"id": list(range(82)), "doc": [0] * 82, "text": texts})
+    assert [x.num_rows for x in ld.sliced(iter([one]))] == [82]
+
+
 def test_long_lines_and_many_lines(spark):
     """Time grows with the lines of a text, not with their square."""
     rows = [(1, "\n".join(["same words in every line"] * 60_000)), (2, " ".join(f"w{i}" for i in range(60_000))), (3, "x" * 200_000), (4, "y\n" * 5000)]

@@ -428,6 +428,32 @@ def test_many_edit_distances_at_once():
     assert steps[0] < 8 * 4_000
 
 
+def test_few_lines_are_told_apart_by_tables_of_their_own(monkeypatch):
+    """Lines of other letters meet no table, and those of several leaders, or of several places, are measured together."""
+    r = random.Random(21)
+    one = lambda letters, k=300: "".join(r.choices(letters, k=k))
+    base = [one("abcdefgh") for _ in range(40)]
+    near = ["".join(y for x in b for y in ((x, r.choice("abcdefgh")) if r.random() < 0.1 else (x,)))[: len(b)] for b in base]
+    want = [ld.edit_distance(a, b, 999) <= ld.allowed(a, b) for a, b in zip(base, near, strict=True)]
+    assert 0 < sum(want) < 40
+    words, single = [], []
+    plainly, edit_distance = ld.plainly, ld.edit_distance
+    monkeypatch.setattr(ld, "plainly", lambda a, b, most: words.append(1) or plainly(a, b, most))
+    monkeypatch.setattr(ld, "edit_distance", lambda a, b, most: single.append(1) or edit_distance(a, b, most))
+    rows = []
+    for i, (a, b) in enumerate(zip(base, near, strict=True)):
+        rows += [(i, 0, i, a), (i, 0, 100 + i, b), (i, 0, 200 + i, one("stuvwxyz"))]
+    batches = [ld.pa.RecordBatch.from_pylist([dict(zip(("leader", "part", "node", "text"), x, strict=True)) for x in rows[k : k + 7]]) for k in range(0, len(rows), 7)]
+    got = sorted(tuple(x.values()) for y in ld.verified(iter(batches)) for x in y.to_pylist())
+    assert got == [(i, 100 + i) for i in range(40) if want[i]] and len(words) == 40 and not single
+    words.clear()
+    schema = ["place", "node", "sim", "size", "root", "places", "text"]
+    rows = [(i, 3 * i + k, 0, len(x), 3 * i + k, [i], x) for i in range(40) for k, x in enumerate((base[i], near[i], one("stuvwxyz")))]
+    got = sorted(tuple(x.values()) for y in ld.settled(iter([ld.pa.RecordBatch.from_pylist([dict(zip(schema, x, strict=True)) for x in rows])])) for x in y.to_pylist())
+    assert got == [(3 * i, 3 * i + 1) for i in range(40) if want[i]] and len(words) == 40 and not single
+    assert not ld.within(["ab", "x" * 900], ["abc" * 300, "xyz"], [5, 5]).any()
+
+
 def test_groups_that_meet_often_are_measured_once(spark, monkeypatch):
     """Lines of two groups of unlike lines are told apart by the distance of the groups' first lines; links are of roots."""
     r = random.Random(14)

@@ -428,6 +428,20 @@ def test_many_edit_distances_at_once():
     assert steps[0] < 8 * 4_000
 
 
+def test_components_end_once_all_are_stars(spark, monkeypatch):
+    """No round is spent on edges that are stars already; chains, rings and no edges at all come out right."""
+    written = []
+    stored = c.stored
+    monkeypatch.setattr(c, "stored", lambda df: written.append(1) or stored(df))
+    stars = [(10 * k, 10 * k + i) for k in range(4) for i in range(1, 6)]
+    assert {tuple(x) for x in c.components(spark.createDataFrame(stars, "a long, b long")).collect()} == {(b, a) for a, b in stars} | {(a, a) for a, _ in stars}
+    assert len(written) == 3
+    chain = [(i, i + 1) for i in range(40)] + [(100, 102), (102, 101), (101, 100), (205, 201), (205, 203), (204, 203)]
+    want = {(i, 0) for i in range(41)} | {(i, 100) for i in (100, 101, 102)} | {(i, 201) for i in (201, 203, 204, 205)}
+    assert {tuple(x) for x in c.components(spark.createDataFrame(chain, "a long, b long")).collect()} == want
+    assert not c.components(spark.createDataFrame([], "a long, b long")).collect()
+
+
 def test_few_lines_are_told_apart_by_tables_of_their_own(monkeypatch):
     """Lines of other letters meet no table, and those of several leaders, or of several places, are measured together."""
     r = random.Random(21)
